@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemark.llm import common, decontamination, line_dedup, quality_classifier
+from sievemark.llm import common, decontamination, line_dedup, near_dedup, quality_classifier, source_mix
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,12 +22,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("decontamination", contamination)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the mix, with ``copies``, how often each is in it, and ``taken``, its words in it."""
+    out = source_mix.mix_sources(docs)
+    return out.where(F.col("copies") > 0).select(*docs.columns, "copies", "taken")
+
+
+STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("near_dedup", near), ("decontamination", contamination), ("source_mix", mix)]
 
 #: The classifier is fitted, so SQL can't express it.
 ORACLE_SQL = None

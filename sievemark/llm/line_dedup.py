@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import need, row_key
+from .common import need, row_key, table
 
 SPACE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -43,6 +43,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     hashed = F.transform(lines, lambda x: _hash(x, min_chars))
     once = docs.select(F.explode(F.array_distinct(hashed)).alias("h")).where(F.col("h").isNotNull()).select(F.unhex("h").alias("h"))
     frequent = once.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h")
+    frequent = table(frequent, "frequent-lines")  # so that the join deals both sides anew, and Spark can split a hot line
     placed = keyed.select("k1", "k2", F.posexplode(hashed).alias("at", "h")).where(F.col("h").isNotNull()).select("k1", "k2", "at", F.unhex("h").alias("h"))
     hits = placed.join(frequent, "h", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("hit"))
     rows = keyed.join(hits, ["k1", "k2"], "left").select(*keep, "hit", lines.alias("_lines"))

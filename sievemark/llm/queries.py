@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, lm_scoring, quality_classifier, quality_rules, url_filters
+from . import decontamination, line_dedup, lm_scoring, near_dedup, quality_classifier, quality_rules, secret_scan, source_mix, url_filters, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +44,30 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), decontamination.is_contaminated().alias("contaminated"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_url_filters, op4_quality_classifier, op5_line_dedup, op6_decontamination)}
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.read_archives(warc.archive_pages(_read(spark, sf_dir, "pages")))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.secret_spans(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("base_spans", _is_kind(k))).cast("long").alias(f"n_{k}") for k in secret_scan.PATTERNS]
+    return out.select("doc_id", *counts, F.sha2(secret_scan.span_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
+def _is_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_sources(_read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_url_filters, op4_quality_classifier, op5_line_dedup, op6_decontamination, op7_warc, op8_near_dedup, op9_secret_scan, op10_source_mix)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -58,6 +81,12 @@ marked AS (SELECT k.*, m.key IS NOT NULL AS gone FROM keyed k LEFT JOIN many m O
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+q AS (SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM q""",
     "op6_decontamination": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

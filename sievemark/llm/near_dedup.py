@@ -80,7 +80,7 @@ def signatures(bags: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray
     text, sh, count = _counted(bags)
     total = np.array([len(b) for b in bags], float)
     out = np.zeros((len(bags), registers), np.uint64)
-    todo, slack = np.arange(len(bags)), 6.0
+    todo, slack = np.arange(len(bags)), 4.5
     while len(todo):
         own = np.isin(text, todo) if len(todo) < len(bags) else slice(None)
         horizon = registers / total * (np.log(registers) + slack)
@@ -127,10 +127,12 @@ def _points(seed: np.ndarray, text: np.ndarray, share: np.ndarray, horizon: np.n
         t = time[:, None] + np.cumsum(-np.log(((a >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53), axis=1) / length
         live = t <= end[:, None]
         last = live[:, -1]
-        h = _mix(a ^ _P[7])
-        inside = live & ((h & np.uint64(0xFFFFFFFF)).astype(np.float64) < share[:, None] * 2.0**32)
-        i, j = np.nonzero(inside)
-        yield text[i], t[i, j], h[i, j]
+        i, j = np.nonzero(live)
+        h = _mix(a[i, j] ^ _P[7])
+        if length > 1:
+            inside = (h & np.uint64(0xFFFFFFFF)).astype(np.float64) < share[i] * 2.0**32
+            i, j, h = i[inside], j[inside], h[inside]
+        yield text[i], t[i, j], h
         time, number = t[last, -1], number + k
         seed, text, share, end = seed[last], text[last], share[last], end[last]
 
@@ -204,9 +206,8 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """node, label of every node of ``edges`` (a, b): the least node of its component.
 
     Large-star and small-star steps, each a minimum by node that is summed before the shuffle and a join; the state
-    is written after each pair of steps.
+    is written after each pair of steps. It is done when every node points at one node that points nowhere.
     """
-    mark = None
     for _ in range(most):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -214,11 +215,10 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
         # every edge now goes from a node to a smaller one
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        state = table(small, "components")
-        seen = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            return state.select(F.col("a").alias("node"), F.col("b").alias("label")).union(state.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
-        mark, edges = seen, state
+        edges = table(small, "components")
+        ends = edges.groupBy("a").agg(F.count("*").alias("out")).unionByName(edges.select(F.col("b").alias("a"), F.lit(1).cast("long").alias("out")).distinct())
+        if ends.groupBy("a").agg(F.sum("out").alias("out")).where("out > 1").isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
     raise RuntimeError(f"components did not settle in {most} steps")
 
 
@@ -253,6 +253,8 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     placed = cells.select("bucket", "node").join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
     rest = table(placed.join(mixed, "bucket").join(about, "node"), "near-rest")
+    if rest.isEmpty():
+        return _labelled(signed, label)
     x, y = rest.alias("x"), rest.alias("y")
     cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & _sketches_allow("x", "y"))
     cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
@@ -260,6 +262,10 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     if not more.isEmpty():
         label = components(links.union(more))
 
+    return _labelled(signed, label)
+
+
+def _labelled(signed: DataFrame, label: DataFrame) -> DataFrame:
     return table(signed.select("k1", "k2", "doc_id", "node").join(label, "node", "left").select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
 
 

@@ -12,13 +12,14 @@ from ..functions.coerce import truthy
 
 def json_health(text: Column) -> Column:
     """Why a JSON document is unusable: empty, nul-prefix, whitespace, parse-error or not-object; null for an object."""
+    whole = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))  # a parse of the text alone would not see what follows the first value
     parsed = F.schema_of_variant(F.try_parse_json(text))
     return (
         F.when(text.isNull(), "unreadable")
         .when(text == "", "empty")
         .when(text.startswith("\u0000"), "nul-prefix")
         .when(text.rlike(r"^\s+\z"), "whitespace")
-        .when(F.try_parse_json(text).isNull(), "parse-error")
+        .when(F.try_parse_json(text).isNull() | whole.isNull(), "parse-error")
         .when(~parsed.startswith("OBJECT"), "not-object")
     )
 

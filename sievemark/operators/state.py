@@ -134,4 +134,4 @@ def snapshot(ids: DataFrame, companies: DataFrame) -> DataFrame:
 def recrawl(companies: DataFrame, forced: bool, old_cap: int, new_cap: int) -> DataFrame:
     """Companies to open again: all if forced, or those that stopped at a cap that is now higher; terminal ones stay."""
     open_ = F.col("status").isin("markdown_done", "llm_not_done", "llm_done") & (F.lit(forced) | (F.lit(new_cap > old_cap) & (F.col("urls_total") == old_cap)))
-    return companies.withColumn("status", F.when(open_, "markdown_not_done").otherwise(F.col("status"))).withColumn("reopened", open_)
+    return companies.withColumns({"reopened": open_, "status": F.when(open_, "markdown_not_done").otherwise(F.col("status"))})

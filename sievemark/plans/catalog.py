@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import queries_analysis, queries_dataset, queries_match, queries_retry, queries_state, queries_web
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+PARTS = [m.C for m in (queries_dataset, queries_web, queries_state, queries_analysis, queries_match, queries_retry)]
+QUERIES = {name: f for part in PARTS for name, f in part.queries.items()}
+ORACLES = {name: sql for part in PARTS for name, sql in part.oracles.items()}

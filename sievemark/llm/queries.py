@@ -90,12 +90,12 @@ FROM q""",
     "op6_decontamination": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-bs AS (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at FROM bw WHERE len(w) > 0),
-win AS (SELECT DISTINCT item_id, size, array_to_string(w[at:at + size - 1], ' ') AS phrase FROM bs),
+bs AS (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS pos FROM bw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, size, array_to_string(w[pos:pos + size - 1], ' ') AS phrase FROM bs),
 sizes AS (SELECT DISTINCT size FROM win),
-ds AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS at FROM dw, sizes WHERE len(w) >= size),
-found AS (SELECT ds.doc_id, ds.at, ds.size, win.item_id FROM ds JOIN win ON win.size = ds.size AND win.phrase = array_to_string(ds.w[ds.at:ds.at + ds.size - 1], ' ')),
-hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(at, at + size)) AS p FROM found) GROUP BY doc_id),
+ds AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS pos FROM dw, sizes WHERE len(w) >= size),
+found AS (SELECT ds.doc_id, ds.pos, ds.size, win.item_id FROM ds JOIN win ON win.size = ds.size AND win.phrase = array_to_string(ds.w[ds.pos:ds.pos + ds.size - 1], ' ')),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(pos, pos + size)) AS p FROM found) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

@@ -9,10 +9,11 @@ text with an empty register is done again with a later horizon. A long text so c
 about ``REGISTERS * log(REGISTERS)`` points.
 
 Bands of registers give buckets. Texts with the same words are one node. In a bucket every node is compared with the
-bucket's least node; links that hold make components. Only in buckets that still hold several components are the
-members of different components compared, if their sizes and a sketch of their registers allow the similarity. So a
-large group of copies costs one comparison a node, not all pairs, and no link between components is lost. Comparisons count the
-overlap of the whole bags. Nothing is collected; nodes are 64-bit hashes of the word sequence.
+node that is in the largest buckets; links that hold make components. Only in buckets that still hold several components are the
+members of different components compared, if their sizes and a sketch of their registers allow the similarity. Buckets of more
+than ``DIRECT`` nodes do not pair their members: their nodes' rarest shingles, as many as two linked bags must share one of,
+give the pairs. So a large group of copies costs one comparison a node, not all pairs, and no link between components is lost.
+Comparisons count the overlap of the whole bags. Nothing is collected; nodes are 64-bit hashes of the word sequence.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from .common import need, row_key, table
 WIDTH = 5
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
+#: Largest bucket whose members are paired as they are: at most half as many pairs for each member.
+DIRECT = 16
 #: Bits of the sketch (one by register) that may differ: expected 0.1 of them at 0.8, and 5.5 deviations more.
 SKETCH_BITS = int(0.1 * REGISTERS + 5.5 * (0.09 * REGISTERS) ** 0.5)
 
@@ -230,6 +233,46 @@ def _sketches_allow(x: str, y: str) -> Column:
     return size & (differ <= SKETCH_BITS)
 
 
+def _elements(texts: DataFrame, width: int) -> DataFrame:
+    """node, el of every member of every bag: the k-th copy of a shingle is an element of its own, so a bag is a set."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Hashes()
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                own = tokens(text.as_py())
+                bag = np.sort(shingles(np.fromiter((cache[w] for w in own), np.uint64, len(own)), width))
+                new = np.concatenate(([True], bag[1:] != bag[:-1]))
+                copy = np.arange(len(bag)) - np.maximum.accumulate(np.where(new, np.arange(len(bag)), 0))
+                el = _mix(bag + copy.astype(np.uint64) * _G).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(el), node, np.int64)), pa.array(el)], ["node", "el"])
+                if len(cache) > 500_000:
+                    cache.clear()
+
+    return texts.select("node", "text").mapInArrow(part, "node long, el long")
+
+
+def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, label, n, sketch) of different labels that can have a similarity of 0.8.
+
+    Bags of m <= n elements need an overlap of 4/9 (m + n), which is at least 8/9 m and 4/5 n. With all elements in one order,
+    rarest first, such bags share one among the first m - 8/9 m + 1 of the smaller and the first n - 4/5 n + 1 of the larger, and
+    from the first that they share on enough elements are left in both. An edit makes rare elements, so versions of a text that differ too much meet in none, however many share the rest.
+    """
+    own = table(_elements(texts.join(nodes.select("node"), "node", "left_semi"), width), "near-elements")
+    often = own.groupBy("el").agg(F.count("*").alias("c")).where("c > 1")
+    ranked = own.join(often, "el", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("c", F.lit(1)).alias("c"), "el"))).alias("order"))
+    n = F.size("order")
+    head = ranked.select("node", F.posexplode(F.slice("order", F.lit(1), n - F.ceil(n * 4 / 5 - 1e-9).cast("int") + 1)).alias("at", "x"), (n - F.ceil(n * 8 / 9 - 1e-9) + 1).alias("short"))
+    head = head.where("x.c > 1").select("node", F.col("x.el").alias("el"), "at", (F.col("at") < F.col("short")).alias("early"))
+    head = table(head.join(nodes, "node"), "near-heads")
+    x, y = head.where("early").alias("x"), head.alias("y")
+    after = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
+    enough = 9 * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= 4 * (F.col("x.n") + F.col("y.n"))
+    found = x.join(y, (F.col("x.el") == F.col("y.el")) & (F.col("x.label") != F.col("y.label")) & after & enough & _sketches_allow("x", "y"))
+    return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def _members(docs: DataFrame, width: int) -> DataFrame:
     """k1, k2, doc_id, node and label (null without words) of every row."""
     need(docs, "doc_id", "text")
@@ -238,11 +281,14 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     nodes = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     nodes = table(nodes.withColumnRenamed("k1", "q1").withColumnRenamed("k2", "q2"), "near-nodes")
     cells = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = cells.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1").select("bucket", "pivot")
+    shared = cells.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     cells = table(cells.join(shared, "bucket"), "near-cells")
+    # the text that others were made from is in the largest buckets
+    weight = cells.groupBy("node").agg(F.sum("c").alias("weight"))
+    pivot = cells.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top")).select("bucket", F.col("top.node").alias("pivot"))
 
     about = nodes.select("node", "n", "sketch")
-    star = cells.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    star = cells.join(pivot, "bucket").where("node <> pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
     star = table(_allowed(star, about), "near-star")
     texts = nodes.select("node", "q1", "q2").join(cells.select("node").distinct(), "node", "left_semi")
     keyed = rows.select(F.col("k1").alias("q1"), F.col("k2").alias("q2"), "text")
@@ -251,13 +297,17 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
 
     label = components(links)
     placed = cells.select("bucket", "node").join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
+    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held")).where("low <> high").select("bucket", "held")
     rest = table(placed.join(mixed, "bucket").join(about, "node"), "near-rest")
     if rest.isEmpty():
         return _labelled(signed, label)
-    x, y = rest.alias("x"), rest.alias("y")
+    few, many = rest.where(F.col("held") <= DIRECT), rest.where(F.col("held") > DIRECT)
+    x, y = few.alias("x"), few.alias("y")
     cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & _sketches_allow("x", "y"))
-    cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    if not many.isEmpty():
+        cross = cross.union(_by_rare_shingles(many.select("node", "label", "n", "sketch").distinct(), texts, width))
+    cross = cross.distinct().join(star, ["a", "b"], "left_anti")
     more = table(_verified(cross, texts, width, (4, 5)), "near-links")
     if not more.isEmpty():
         label = components(links.union(more))

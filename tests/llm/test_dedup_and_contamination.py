@@ -148,6 +148,20 @@ def test_chain_of_versions_and_a_large_group(spark):
     assert got == classes_brute(rows)
 
 
+@pytest.mark.parametrize("base", [[f"t{i}" for i in range(150)], ["a", "b", "c", "d", "e", "f"] * 25])
+def test_group_whose_versions_differ_more_and_less(spark, base):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(160):
+        own = list(base)
+        for j in range(int(rng.integers(0, 12))):
+            own[int(rng.integers(0, len(own)))] = f"e{k}.{j}" if rng.random() < 0.7 else f"s{j}"
+        rows.append((k, " ".join(own[: int(rng.integers(125, 151))])))
+    got = sorted(((r.doc_id, r.class_id) for r in nd.near_duplicates(docs_frame(spark, rows)).select("doc_id", "class_id").collect()), key=str)
+    assert len({c for _, c in got}) > 3
+    assert got == classes_brute(rows)
+
+
 def test_classes_of_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted(((r.doc_id, r.class_id) for r in nd.near_duplicates(odd).collect()), key=str)

@@ -38,12 +38,12 @@ for _how, _sql in (("inner", "JOIN"), ("left", "LEFT JOIN"), ("right", "RIGHT JO
 
     @C.query(
         f"ds_join_{_how}",
-        f"""SELECT coalesce(l.k, r.k) AS k, l.name AS name_l, r.name AS name_r, l.c_acctbal, r.s_acctbal
-FROM (SELECT c_nationkey AS k, c_name AS name, c_acctbal FROM customer WHERE c_custkey <= 60) l {_sql} (SELECT s_nationkey AS k, s_name AS name, s_acctbal FROM supplier WHERE s_suppkey <= 40) r ON l.k IS NOT DISTINCT FROM r.k""",
+        f"""SELECT coalesce(l.k, r.k) AS k, l.name AS name_l, r.name AS name_r, l.c_acctbal, r.o_totalprice
+FROM (SELECT c_custkey AS k, c_name AS name, c_acctbal FROM customer) l {_sql} (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS k, o_orderpriority AS name, o_totalprice FROM orders) r ON l.k IS NOT DISTINCT FROM r.k""",
     )
     def ds_join(t, how=_how):
-        left = t("customer").where("c_custkey <= 60").select(F.col("c_nationkey").alias("k"), F.col("c_name").alias("name"), "c_acctbal")
-        right = t("supplier").where("s_suppkey <= 40").select(F.col("s_nationkey").alias("k"), F.col("s_name").alias("name"), "s_acctbal")
+        left = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), "c_acctbal")
+        right = t("orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"), F.col("o_orderpriority").alias("name"), "o_totalprice")
         return d.join_tables(left, right, ["k"], how)
 
 
@@ -104,10 +104,10 @@ def ds_append(t):
     return d.append(t("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")), t("region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name")))
 
 
-@C.query("ds_merge_tables", "SELECT id, name, coalesce(extra, '') AS extra FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, '' AS extra FROM customer WHERE c_custkey <= 50 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, 'supplier' FROM supplier WHERE CAST(s_suppkey AS VARCHAR) NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey <= 50))")
+@C.query("ds_merge_tables", "SELECT id, name, coalesce(extra, '') AS extra FROM (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, '' AS extra FROM supplier UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'customer' FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier))")
 def ds_merge_tables(t):
-    base = t("customer").where("c_custkey <= 50").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
-    more = t("supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"), F.lit("supplier").alias("extra"))
+    base = t("supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"))
+    more = t("customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.lit("customer").alias("extra"))
     return m.merge_tables(base, more, "id")
 
 

@@ -12,19 +12,23 @@ C = Catalog()
 
 
 def _tokens(t):
-    rows = t("part").where("p_partkey <= 200").select(F.col("p_partkey").cast("string").alias("token_id"), F.element_at(F.array(F.lit("the, and"), F.lit("of the"), F.lit("a / is"), F.lit("in"), F.lit("to the [x]")), (F.col("p_partkey") % 5 + 1).cast("int")).alias("label"))
-    return match.aliases(rows)
+    labels = F.array(F.lit("the, and"), F.lit("of the"), F.lit("a / is"), F.lit("in"), F.lit("to the [x]"))
+    rows = t("part").select(F.col("p_brand").alias("token_id")).distinct()
+    return match.aliases(rows.withColumn("label", F.element_at(labels, F.ascii(F.right("token_id", F.lit(1))) % 5 + 1)))
 
 
 _ALIAS = "a(k, alias) AS (VALUES (0, 'the'), (1, 'of the'), (2, 'a'), (2, 'is'), (3, 'in'), (4, 'to the'))"
 
 
-@C.query("taxonomy_aliases", f"WITH {_ALIAS}, p AS (SELECT p_partkey FROM part WHERE p_partkey <= 200) SELECT CAST(p_partkey AS VARCHAR) AS token_id, string_agg(alias, ';' ORDER BY CASE alias WHEN 'is' THEN 1 ELSE 0 END) AS aliases, CASE p_partkey % 5 WHEN 0 THEN 'and' WHEN 4 THEN 'x' ELSE '' END AS note FROM p JOIN a ON p_partkey % 5 = k GROUP BY p_partkey")
+_BRAND = "p AS (SELECT DISTINCT p_brand AS token_id, ascii(right(p_brand, 1)) % 5 AS pick FROM part)"
+
+
+@C.query("taxonomy_aliases", f"WITH {_ALIAS}, {_BRAND} SELECT token_id, string_agg(alias, ';' ORDER BY CASE alias WHEN 'is' THEN 1 ELSE 0 END) AS aliases, CASE pick WHEN 0 THEN 'and' WHEN 4 THEN 'x' ELSE '' END AS note FROM p JOIN a ON pick = k GROUP BY token_id, pick")
 def taxonomy_aliases(t):
     return _tokens(t).select("token_id", F.array_join("aliases", ";").alias("aliases"), "note")
 
 
-@C.query("nice_match", rf"""WITH {_ALIAS}, p AS (SELECT CAST(p_partkey AS VARCHAR) AS token_id, alias FROM (SELECT p_partkey FROM part WHERE p_partkey <= 200) JOIN a ON p_partkey % 5 = k),
+@C.query("nice_match", rf"""WITH {_ALIAS}, {_BRAND.replace("p AS", "q AS")}, p AS (SELECT token_id, alias FROM q JOIN a ON pick = k),
 s AS (SELECT conv_id, turn, text, lower(text) AS low FROM conversations),
 h AS (SELECT conv_id, turn, alias, len(regexp_extract_all(regexp_replace(regexp_replace(low, '[^a-z0-9]+', '  ', 'g'), '^|$', ' ', 'g'), '(?:^| )' || replace(alias, ' ', ' +') || '(?: )')) AS n FROM s, (SELECT DISTINCT alias FROM a)),
 f AS (SELECT * FROM h WHERE n > 0), r AS (SELECT f.conv_id, f.turn, token_id, p.alias, f.n, row_number() OVER (PARTITION BY f.conv_id, f.turn, token_id ORDER BY length(p.alias) DESC, p.alias) AS k FROM f JOIN p ON f.alias = p.alias)
@@ -90,11 +94,11 @@ def presence_parse(t):
     return rows.select("event_id", payload.presence(F.coalesce("json", "raw")).alias("p")).select("event_id", "p.has", "p.confidence")
 
 
-@C.query("offering_parse", """WITH r AS (SELECT event_id, x.k, x.type, x.name, x.description FROM events, (VALUES (0, 'product', 'Widget', 'a'), (1, 'Services', 'Repair', 'longer text'), (2, 'product', 'widget', 'the longest one')) x(k, type, name, description) WHERE event_id % 50 = 0)
+@C.query("offering_parse", """WITH r AS (SELECT event_id, x.k, x.type, x.name, x.description FROM events, (VALUES (0, 'product', 'Widget', 'a'), (1, 'Services', 'Repair', 'longer text'), (2, 'product', 'widget', 'the longest one')) x(k, type, name, description))
 SELECT event_id, CASE WHEN k = 1 THEN 'service' ELSE 'product' END AS type, name, description FROM r WHERE k > 0""")
 def offering_parse(t):
     doc = '{"offerings":[{"type":"product","name":"Widget","description":"a"},{"type":"Services","name":" Repair ","description":"longer  text"},{"type":"product","name":"widget","description":"the longest one"},{"name":""}]}'
-    rows = payload.salvage(t("events").where("event_id % 50 = 0").select("event_id", F.lit(f"Here: {doc} done").alias("raw")), "raw")
+    rows = payload.salvage(t("events").select("event_id", F.lit(f"Here: {doc} done").alias("raw")), "raw")
     return payload.offerings(rows, ["event_id"]).select("event_id", "type", "name", "description")
 
 

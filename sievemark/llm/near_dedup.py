@@ -33,6 +33,8 @@ BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
 #: Largest bucket whose members are paired as they are: at most half as many pairs for each member.
 DIRECT = 16
+#: Slots in which the elements of large mixed buckets are counted; the bound on what is broadcast, 8 MB.
+SLOTS = 1 << 21
 #: Bits of the sketch (one by register) that may differ: expected 0.1 of them at 0.8, and 5.5 deviations more.
 SKETCH_BITS = int(0.1 * REGISTERS + 5.5 * (0.09 * REGISTERS) ** 0.5)
 
@@ -233,39 +235,63 @@ def _sketches_allow(x: str, y: str) -> Column:
     return size & (differ <= SKETCH_BITS)
 
 
-def _elements(texts: DataFrame, width: int) -> DataFrame:
-    """node, el of every member of every bag: the k-th copy of a shingle is an element of its own, so a bag is a set."""
+def _elements(text: str, width: int, cache: _Hashes) -> np.ndarray:
+    """The members of a text's bag: the k-th copy of a shingle is an element of its own, so a bag is a set."""
+    own = tokens(text)
+    bag = np.sort(shingles(np.fromiter((cache[w] for w in own), np.uint64, len(own)), width))
+    new = np.concatenate(([True], bag[1:] != bag[:-1]))
+    copy = np.arange(len(bag)) - np.maximum.accumulate(np.where(new, np.arange(len(bag)), 0))
+    if len(cache) > 500_000:
+        cache.clear()
+    return _mix(bag + copy.astype(np.uint64) * _G)
+
+
+def _slot_counts(texts: DataFrame, width: int) -> np.ndarray:
+    """How often elements fall into each of ``SLOTS`` slots. A task sends its sums, and the driver gets one number a slot."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
+        cache, seen = _Hashes(), np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
-                own = tokens(text.as_py())
-                bag = np.sort(shingles(np.fromiter((cache[w] for w in own), np.uint64, len(own)), width))
-                new = np.concatenate(([True], bag[1:] != bag[:-1]))
-                copy = np.arange(len(bag)) - np.maximum.accumulate(np.where(new, np.arange(len(bag)), 0))
-                el = _mix(bag + copy.astype(np.uint64) * _G).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(el), node, np.int64)), pa.array(el)], ["node", "el"])
-                if len(cache) > 500_000:
-                    cache.clear()
-
-    return texts.select("node", "text").mapInArrow(part, "node long, el long")
+            for text in batch.column("text"):
+                np.add.at(seen, (_elements(text.as_py(), width, cache) % np.uint64(SLOTS)).astype(np.int64), 1)
+        slot = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(seen[slot])], ["slot", "c"])
+
+    made = texts.select("text").mapInArrow(part, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(SLOTS, np.int32)
+    out[made.column("slot").to_numpy()] = np.minimum(made.column("c").to_numpy(), 2**31 - 1)
+    return out
 
 
 def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Pairs (a, b) of ``nodes`` (node, label, n, sketch) of different labels that can have a similarity of 0.8.
 
-    Bags of m <= n elements need an overlap of 4/9 (m + n), which is at least 8/9 m and 4/5 n. With all elements in one order,
-    rarest first, such bags share one among the first m - 8/9 m + 1 of the smaller and the first n - 4/5 n + 1 of the larger, and
-    from the first that they share on enough elements are left in both. An edit makes rare elements, so versions of a text that differ too much meet in none, however many share the rest.
+    Bags of m <= n elements need an overlap of 4/9 (m + n), which is at least 8/9 m and 4/5 n. With all elements in one order, such bags
+    share one among the first m - 8/9 m + 1 of the smaller and the first n - 4/5 n + 1 of the larger, and from the first that they
+    share on enough elements are left in both. That holds in any order; in this one elements of rare slots come first. An edit makes
+    rare elements, so versions of a text that differ too much meet in none, however many share the rest.
     """
-    own = table(_elements(texts.join(nodes.select("node"), "node", "left_semi"), width), "near-elements")
-    often = own.groupBy("el").agg(F.count("*").alias("c")).where("c > 1")
-    ranked = own.join(often, "el", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("c", F.lit(1)).alias("c"), "el"))).alias("order"))
-    n = F.size("order")
-    head = ranked.select("node", F.posexplode(F.slice("order", F.lit(1), n - F.ceil(n * 4 / 5 - 1e-9).cast("int") + 1)).alias("at", "x"), (n - F.ceil(n * 8 / 9 - 1e-9) + 1).alias("short"))
-    head = head.where("x.c > 1").select("node", F.col("x.el").alias("el"), "at", (F.col("at") < F.col("short")).alias("early"))
-    head = table(head.join(nodes, "node"), "near-heads")
+    own = table(nodes.join(texts.select("node", "text"), "node"), "near-heavy")
+    counts = own.sparkSession.sparkContext.broadcast(_slot_counts(own, width))  # a number for each slot, whatever the input
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Hashes()
+        for batch in batches:
+            row, el, place, early = [], [], [], []
+            for i, text in enumerate(batch.column("text")):
+                x = _elements(text.as_py(), width, cache)
+                n, c = len(x), counts.value[(x % np.uint64(SLOTS)).astype(np.int64)]
+                at = np.lexsort((x, c))[: n - -(-4 * n // 5) + 1]
+                at, where = at[c[at] > 1], np.flatnonzero(c[at] > 1)  # what only one text has joins nothing, but keeps its place
+                row.append(np.full(len(at), i))
+                el.append(x[at].astype(np.int64))
+                place.append(where)
+                early.append(where < n - -(-8 * n // 9) + 1)
+            held = batch.select(["node", "label", "n", "sketch"]).take(pa.array(np.concatenate([np.zeros(0, np.int64), *row])))
+            more = [pa.array(np.concatenate([np.zeros(0, kind), *x]).astype(kind)) for x, kind in ((el, np.int64), (place, np.int32), (early, bool))]
+            yield pa.RecordBatch.from_arrays([*held.columns, *more], ["node", "label", "n", "sketch", "el", "at", "early"])
+
+    head = table(own.mapInArrow(part, "node long, label long, n long, sketch array<long>, el long, at int, early boolean"), "near-heads")
     x, y = head.where("early").alias("x"), head.alias("y")
     after = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
     enough = 9 * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= 4 * (F.col("x.n") + F.col("y.n"))

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from .common import need, row_key, table
 
-SPACE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"
+SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def line_key(line: Column) -> Column:
     """The line without white space at both ends, A-Z in lower case."""
-    return F.translate(F.regexp_replace(line, SPACE, ""), UPPER, LOWER)
+    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
 
 
 def _hash(line: Column, least: int) -> Column:

@@ -100,11 +100,15 @@ def trailing_count(events: DataFrame, by: str, seconds: int) -> DataFrame:
     return events.withColumn("recent", F.count("*").over(Window.partitionBy(by).orderBy("ts").rangeBetween(-seconds, 0)))
 
 
-def ramp(samples: DataFrame, by: str, seconds: float = 3.0) -> DataFrame:
-    """``samples`` (by, ts, used) with ``ramp``: the change of ``used`` a second over the trailing window."""
+def ramp(samples: DataFrame, by: str, seconds: float = 3.0, order: str | None = None) -> DataFrame:
+    """``samples`` (by, ts, used) with ``ramp``: the change of ``used`` a second over the trailing window.
+
+    Of samples that share the window's first ``ts`` the one with the least ``order`` counts, of equal ones that with the least ``used``.
+    """
     w = Window.partitionBy(by).orderBy("ts").rangeBetween(-seconds, 0)
-    span = F.col("ts") - F.first("ts").over(w)
-    return samples.withColumn("ramp", F.when(span > 0, (F.col("used") - F.first("used").over(w)) / span).otherwise(0.0))
+    start = F.min(F.struct("ts", *([order] if order else []), F.col("used").alias("start"))).over(w)
+    span = F.col("ts") - start["ts"]
+    return samples.withColumn("ramp", F.when(span > 0, (F.col("used") - start["start"]) / span).otherwise(0.0))
 
 
 def stalest(progress: DataFrame, k: int) -> DataFrame:

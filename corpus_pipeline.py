@@ -16,7 +16,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the lines that many documents share; ``n_chars`` follows the text."""
-    out = line_dedup.line_dedup(docs).withColumn("text", F.col("kept_text"))
+    out = line_dedup.line_dedup(docs, by_id=True).withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)

@@ -1,7 +1,7 @@
 """Line dedup: lines that many documents share go from all of them. DataFrame functions alone.
 
-A document's lines become hashes of their keys. Exploded once for each document they are counted, so a count is a
-number of documents, summed before the shuffle. Exploded by position they meet the frequent hashes in a semi-join, of
+A row's lines become hashes of their keys. Exploded once for each row they are counted, summed before the shuffle. Where
+ids tell documents apart, rows of an id that repeats count once together; all other rows still count as one each. Exploded by position they meet the frequent hashes in a semi-join, of
 which Spark splits hot keys. What comes back to a document is the list of its own positions that go; the text
 is then put together again by position, in place. Texts are shuffled once, by row, and line texts never.
 """
@@ -28,12 +28,28 @@ def _hash(line: Column, least: int) -> Column:
     return F.when(F.length(key) >= least, F.md5(key.cast("binary")))
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+def _counted(docs: DataFrame, hashes: Column, by_id: bool) -> DataFrame:
+    """h, n: how many rows, or with ``by_id`` how many documents, have a hash."""
+    if not by_id:
+        once = docs.select(F.explode(hashes).alias("h")).where(F.col("h").isNotNull()).select(F.unhex("h").alias("h"))
+        return once.groupBy("h").agg(F.count("*").alias("n"))
+    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1")
+    repeated = table(repeated.select("doc_id", F.col("doc_id").alias("again")), "repeated-ids")  # few or none as a rule: its size is then known, and it is broadcast
+    rows = docs.select("doc_id", hashes.alias("_hs")).join(repeated, "doc_id", "left")
+    # the outer form, as for the other Spark would add a filter on the array and hash all lines twice
+    once = rows.select("again", F.explode_outer("_hs").alias("h")).where(F.col("h").isNotNull()).select("again", F.unhex("h").alias("h"))
+    # rows of ids that do not repeat share the null, so that they are summed before the shuffle
+    pairs = once.groupBy("h", "again").agg(F.count("*").alias("_n"))
+    return pairs.groupBy("h").agg(F.sum(F.when(F.col("again").isNull(), F.col("_n")).otherwise(1)).alias("n"))
+
+
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, by_id: bool = False) -> DataFrame:
     """The columns of ``docs`` (doc_id, text), with ``kept_text``, ``n_lines`` and ``n_dropped``.
 
     A line goes if its key has at least ``min_chars`` code points and at least ``min_docs`` rows have it. A null or
-    empty text is one empty line, and stays. Rows count one by one, also if they repeat or their id is null. Columns
-    that clash with the three results are dropped; an empty table gives no rows.
+    empty text is one empty line, and stays. Rows count one by one, also if they repeat or their id is null; with
+    ``by_id`` the rows of an id count once, and rows without an id still one by one. Columns that clash with the three
+    results are dropped; an empty table gives no rows.
     """
     need(docs, "doc_id", "text")
     keep = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped", "k1", "k2")]
@@ -41,8 +57,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     lines = F.split(text, "\n", -1)
     keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), *keep)
     hashed = F.transform(lines, lambda x: _hash(x, min_chars))
-    once = docs.select(F.explode(F.array_distinct(hashed)).alias("h")).where(F.col("h").isNotNull()).select(F.unhex("h").alias("h"))
-    frequent = once.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h")
+    frequent = _counted(docs, F.array_distinct(hashed), by_id).where(F.col("n") >= min_docs).select("h")
     frequent = table(frequent, "frequent-lines")  # so that the join deals both sides anew, and Spark can split a hot line
     placed = keyed.select("k1", "k2", F.posexplode(hashed).alias("at", "h")).where(F.col("h").isNotNull()).select("k1", "k2", "at", F.unhex("h").alias("h"))
     hits = placed.join(frequent, "h", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("hit"))

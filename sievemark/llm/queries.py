@@ -35,7 +35,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"), by_id=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -6,7 +6,8 @@ not know cannot match and are left out. All test suffixes then search the array
 binary searches each (first and last place), which gives every verbatim occurrence; neighbours on
 one diagonal join to the longest matches. Training texts are neither shuffled nor gathered.
 
-Tests are broadcast in blocks of bounded size; a larger test set takes more passes, not more memory.
+Tests are broadcast in blocks of bounded size; a larger test set takes more passes, not more memory: what a pass finds is
+written before the next begins, so that one index is alive at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need
+from .common import discard, fresh_dir, need
 
 #: What separates words: ASCII but for letters and digits. A-Z become a-z.
 _TABLE = bytes(i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i > 127 else 32 for i in range(256))
@@ -35,7 +36,7 @@ def words(text: str | None) -> list[bytes]:
 class TestSuffixes:
     """The windows of test items as sorted word numbers, packed several to a 62-bit key."""
 
-    def __init__(self, items: list[tuple[str, str]], width: int):
+    def __init__(self, items: list[tuple[str | None, str]], width: int):
         self.names = [i for i, _ in items]
         split = [words(t) for _, t in items]
         self.number = {w: k + 1 for k, w in enumerate(sorted({w for x in split for w in x}))}
@@ -147,35 +148,36 @@ def _shard(tests: TestSuffixes, split: list[list[bytes]]) -> list[tuple[np.ndarr
     for f, length in zip(first, (last - first + size[first]).tolist(), strict=True):
         best = out[who[f]][1]
         name = tests.names[item[f]]
-        if length > best.get(name, (0, 0, 0))[2]:
+        if name is not None and length > best.get(name, (0, 0, 0))[2]:
             best[name] = (int(pos[f] - starts[who[f]]), int(offset[f]), length)
     return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _index(broadcast, width: int) -> TestSuffixes:
     return TestSuffixes(broadcast.value, width)
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """Items with an id and a text, in blocks of about ``limit`` bytes at most."""
-    rows = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
+def _blocks(benchmark: DataFrame, limit: int, unnamed: bool) -> Iterator[tuple[list[tuple[str | None, str]], bool]]:
+    """Items with a text, and an id or ``unnamed``, in blocks of about ``limit`` bytes at most; True with the last."""
+    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
+    rows = rows if unnamed else rows.where(F.col("item_id").isNotNull())
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 if size <= limit else 2 * -(-size // limit)
     for k in range(n):
         own = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield sorted(tuple(r) for r in own.collect())
+        yield sorted((tuple(r) for r in own.collect()), key=lambda x: (x[0] is None, x[0] or "", x[1])), k == n - 1
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 16_000_000, shard_words: int = 1_000_000) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 16_000_000, shard_words: int = 1_000_000, unnamed: bool = False) -> DataFrame:
     """The columns of ``docs`` (doc_id, text), with n_words, n_hit, items and matches.
 
     A window is ``width`` consecutive words of an item of ``benchmark`` (item_id, text), or a whole shorter item with
     a word. ``n_hit`` counts a text's words inside any occurrence; ``items`` has the ids (as text, sorted) of items with
     one; ``matches`` has the longest verbatim match of each such item, with its place in the text and in the item.
 
-    A null text has no words. Items without an id or a text are left out; items that repeat an id count as one. Rows of
-    ``docs`` that repeat or have no id are judged one by one. With no items nothing is hit. Columns that clash with
+    A null text has no words. Items without a text are left out, and those without an id unless ``unnamed``: then they
+    count in ``n_hit`` alone. Items that repeat an id count as one. Rows of ``docs`` that repeat or have no id are judged one by one. With no items nothing is hit. Columns that clash with
     the results are dropped.
     """
     need(docs, "doc_id", "text")
@@ -187,7 +189,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, b
     match = pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())])
     types = {"n_words": pa.int64(), "ranges": pa.list_(pa.int32()), "items": pa.list_(pa.string()), "matches": pa.list_(match)}
 
-    for block in _blocks(benchmark, block_bytes):
+    written = None
+    for block, last in _blocks(benchmark, block_bytes, unnamed):
         index = spark.sparkContext.broadcast(block)
 
         def part(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -214,6 +217,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, b
                     yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), *(pa.array(made[c], t) for c, t in types.items())], [*keep, *types])
 
         out = out.mapInArrow(part, T.StructType([*own, *RESULT]))
+        if not last:  # one index at a time: the next pass reads what this one found
+            before, written = written, fresh_dir(spark, "contamination")
+            out.write.parquet(written)
+            out = spark.read.schema(out.schema).parquet(written)
+            index.destroy()
+            if before:
+                discard(spark, before)
     hit = F.aggregate(F.transform("ranges", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
     return out.select(*keep, "n_words", hit.alias("n_hit"), "items", "matches")
 
@@ -225,4 +235,4 @@ def is_contaminated(share: int = 20):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated rows."""
-    return find_contamination(docs, benchmark, width).where(~is_contaminated(share)).select(*docs.columns)
+    return find_contamination(docs, benchmark, width, unnamed=True).where(~is_contaminated(share)).select(*docs.columns)

@@ -17,10 +17,13 @@ from .common import need, words_of
 SYMBOLS = "#*$%&|<>"
 #: Ends of a sentence, before closing quotes and brackets.
 TERMINAL = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
-#: Phrases of page furniture, in lower case.
+#: Phrases of page furniture in English, French, German and Spanish, in lower case.
 BOILERPLATE = re.compile(
     r"lorem ipsum|enable javascript|javascript is (?:disabled|required)|accept (?:all )?cookies|cookie (?:policy|settings|consent)|privacy policy|terms (?:of (?:use|service)|and conditions)"
     r"|all rights reserved|click here|read more|sign (?:in|up)\b|log ?in\b|subscribe (?:now|to our)|add to cart|share on (?:facebook|twitter|x)|skip to (?:main )?content|back to top"
+    r"|tous droits réservés|politique de confidentialité|mentions légales|conditions (?:générales )?d['’]utilisation|accepter (?:tous )?les cookies|cliquez ici|lire la suite|ajouter au panier|retour en haut|aller au contenu|partager sur (?:facebook|twitter|x)\b"
+    r"|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|allgemeine geschäftsbedingungen|cookies akzeptieren|klicken sie hier|hier klicken|weiterlesen\b|jetzt anmelden|in den warenkorb|zurück nach oben|zum inhalt springen|newsletter abonnieren"
+    r"|todos los derechos reservados|política de (?:privacidad|cookies)|términos (?:y condiciones|de uso)|aviso legal|aceptar (?:todas )?(?:las )?cookies|ha(?:ga|z) clic aquí|leer más\b|iniciar sesión|añadir al carrito|volver arriba|saltar al contenido"
 )
 SEPARATORS = re.compile(r"(?:^|\s)[|>»•·/](?=\s|$)")
 NOISE = re.compile(r"[^\w\s.,;:?'\"()\-–—’“”«»¿¡…]")
@@ -30,12 +33,12 @@ LINE_RULES = ("navigation", "noise", "boilerplate", "fragment")
 def judge_line(line: str, n_words: int) -> str | None:
     """The first rule of ``LINE_RULES`` that a line with words fails, or None.
 
-    navigation: three or more lone separators, one for every four words at least. noise: more than one odd
+    navigation: two or more lone separators, one for every four words at least. noise: more than one odd
     symbol for every two words. boilerplate: a known phrase in a line of at most 30 words. fragment: at most
     three words without a sentence's end.
     """
     seps = len(SEPARATORS.findall(line))
-    if seps >= 3 and 4 * seps >= n_words:
+    if seps >= 2 and 4 * seps >= n_words:
         return "navigation"
     if len(NOISE.findall(line)) * 2 > n_words + 2:
         return "noise"
@@ -46,6 +49,11 @@ def judge_line(line: str, n_words: int) -> str | None:
     return None
 
 
+def is_open(line: str, n_words: int) -> bool:
+    """A short line of more than three words without a sentence's end; ``clean`` takes such lines where they are most of a text."""
+    return 3 < n_words <= 8 and not TERMINAL.search(line.rstrip())
+
+
 def repeated_words(words: list[bytes], width: int = 3) -> int:
     """Words inside windows of ``width`` words that are found twice or more."""
     if len(words) <= width:
@@ -70,8 +78,10 @@ def clean(text: str | None) -> dict:
     words = words_of(text)
     seen, n_dup, kept, lost = set(), 0, [], dict.fromkeys(LINE_RULES, 0)
     chars = kept_chars = 0
-    for line in text.split("\n"):
-        own = words_of(line)
+    lines = [(line, words_of(line)) for line in text.split("\n")]
+    n_open = sum(is_open(line, len(own)) for line, own in lines)
+    menu = n_open >= 3 and 2 * n_open > sum(bool(own) for _, own in lines)
+    for line, own in lines:
         if not own:
             kept.append(line)
             continue
@@ -79,7 +89,8 @@ def clean(text: str | None) -> dict:
         seen.add(line)
         size = sum(map(len, own))
         chars += size
-        if rule := judge_line(line, len(own)):
+        rule = judge_line(line, len(own)) or ("fragment" if menu and is_open(line, len(own)) else None)
+        if rule:
             lost[rule] += 1
         else:
             kept_chars += size

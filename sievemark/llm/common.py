@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _own: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
+_tables: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,7 +47,18 @@ def table(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again, which cuts the lineage."""
     path = fresh_dir(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _tables[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete what ``table`` has written, once no frame in use reads it."""
+    for df in tables:
+        held, path = _tables.pop(id(df), (None, None))
+        if held is not None and held() is df:
+            discard(df.sparkSession, path)
+            _written[:] = [x for x in _written if x[1] != path]
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -58,10 +71,22 @@ def discard(spark: SparkSession, path: str) -> None:
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
+        if spark.sparkContext._jsc is None:  # the session is gone; the folder's owner cleans up
+            continue
         try:
             discard(spark, path)
-        except Exception:  # the session may be gone; the folder's owner cleans up then
-            return
+        except Exception:  # one path that cannot go does not keep the others
+            continue
+
+
+def column(name: str) -> Column:
+    """A column by its whole name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, *replaced: str) -> Column:
+    """The user's columns but for ``replaced`` as one struct, ``row``, so that no name of an operator meets one of theirs."""
+    return F.struct(*(column(c) for c in df.columns if c not in replaced)).alias("row")
 
 
 def row_key(*cols: Column) -> list[Column]:

@@ -17,11 +17,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, fresh_dir, need
+from .common import need, packed, release, table
 
 #: What separates words: ASCII but for letters and digits. A-Z become a-z.
 _TABLE = bytes(i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i > 127 else 32 for i in range(256))
@@ -169,23 +170,13 @@ def _blocks(benchmark: DataFrame, limit: int, unnamed: bool) -> Iterator[tuple[l
         yield sorted((tuple(r) for r in own.collect()), key=lambda x: (x[0] is None, x[0] or "", x[1])), k == n - 1
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 16_000_000, shard_words: int = 1_000_000, unnamed: bool = False) -> DataFrame:
-    """The columns of ``docs`` (doc_id, text), with n_words, n_hit, items and matches.
-
-    A window is ``width`` consecutive words of an item of ``benchmark`` (item_id, text), or a whole shorter item with
-    a word. ``n_hit`` counts a text's words inside any occurrence; ``items`` has the ids (as text, sorted) of items with
-    one; ``matches`` has the longest verbatim match of each such item, with its place in the text and in the item.
-
-    A null text has no words. Items without a text are left out, and those without an id unless ``unnamed``: then they
-    count in ``n_hit`` alone. Items that repeat an id count as one. Rows of ``docs`` that repeat or have no id are judged one by one. With no items nothing is hit. Columns that clash with
-    the results are dropped.
-    """
+def _searched(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, shard_words: int, unnamed: bool, *replaced: str) -> DataFrame:
+    """row (the columns of ``docs`` but for ``replaced``), n_words, n_hit, items, matches."""
     need(docs, "doc_id", "text")
     need(benchmark, "item_id", "text")
     spark = docs.sparkSession
-    keep = [c for c in docs.columns if c not in {"n_words", "n_hit", "ranges", "items", "matches"}]
-    out = docs.select(*keep)
-    own = out.schema
+    out = docs.select(packed(docs, *replaced))
+    row = out.schema.fields
     match = pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())])
     types = {"n_words": pa.int64(), "ranges": pa.list_(pa.int32()), "items": pa.list_(pa.string()), "matches": pa.list_(match)}
 
@@ -196,11 +187,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, b
         def part(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             tests = _index(index, width)
             for batch in batches:
-                lengths = np.cumsum(np.array(batch.column("text").to_pandas().str.len().fillna(0), np.int64))
+                lengths = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("row").field("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
                 for k in np.unique(lengths // (6 * shard_words)):
                     a, b = np.searchsorted(lengths // (6 * shard_words), [k, k + 1])
                     rows = batch.slice(a, b - a)
-                    split = [words(t.as_py()) for t in rows.column("text")]
+                    split = [words(t.as_py()) for t in rows.column("row").field("text")]
                     found = _shard(tests, split)
                     before = rows.select(list(types)).to_pylist() if "ranges" in rows.schema.names else [None] * len(split)
                     made: dict[str, list] = {c: [] for c in types}
@@ -214,18 +205,31 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, b
                         made["ranges"].append(ranges.ravel().tolist())
                         made["items"].append(sorted(best))
                         made["matches"].append([dict(zip(("item_id", "doc_word", "item_word", "n_words"), (i, *best[i]), strict=True)) for i in sorted(best)])
-                    yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), *(pa.array(made[c], t) for c, t in types.items())], [*keep, *types])
+                    yield pa.RecordBatch.from_arrays([rows.column("row"), *(pa.array(made[c], t) for c, t in types.items())], ["row", *types])
 
-        out = out.mapInArrow(part, T.StructType([*own, *RESULT]))
+        out = out.mapInArrow(part, T.StructType([*row, *RESULT]))
         if not last:  # one index at a time: the next pass reads what this one found
-            before, written = written, fresh_dir(spark, "contamination")
-            out.write.parquet(written)
-            out = spark.read.schema(out.schema).parquet(written)
+            before, written = written, table(out, "contamination")
+            out = written
             index.destroy()
-            if before:
-                discard(spark, before)
+            release(before)
     hit = F.aggregate(F.transform("ranges", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
-    return out.select(*keep, "n_words", hit.alias("n_hit"), "items", "matches")
+    return out.select("row", "n_words", hit.alias("n_hit"), "items", "matches")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 16_000_000, shard_words: int = 1_000_000, unnamed: bool = False) -> DataFrame:
+    """The columns of ``docs`` (doc_id, text), with n_words, n_hit, items and matches.
+
+    A window is ``width`` consecutive words of an item of ``benchmark`` (item_id, text), or a whole shorter item with
+    a word. ``n_hit`` counts a text's words inside any occurrence; ``items`` has the ids (as text, sorted) of items with
+    one; ``matches`` has the longest verbatim match of each such item, with its place in the text and in the item.
+
+    A null text has no words. Items without a text are left out, and those without an id unless ``unnamed``: then they
+    count in ``n_hit`` alone. Items that repeat an id count as one. Rows of ``docs`` that repeat or have no id are judged one
+    by one. With no items nothing is hit. Columns named as one of the four results are replaced, all others stay.
+    """
+    results = ("n_words", "n_hit", "items", "matches")
+    return _searched(docs, benchmark, width, block_bytes, shard_words, unnamed, *results).select("row.*", *results)
 
 
 def is_contaminated(share: int = 20):
@@ -233,6 +237,6 @@ def is_contaminated(share: int = 20):
     return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
-    """``docs`` without the contaminated rows."""
-    return find_contamination(docs, benchmark, width, unnamed=True).where(~is_contaminated(share)).select(*docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20, block_bytes: int = 16_000_000) -> DataFrame:
+    """``docs`` without the contaminated rows; all their columns stay."""
+    return _searched(docs, benchmark, width, block_bytes, 1_000_000, True).where(~is_contaminated(share)).select("row.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import need, row_key, table
+from .common import column, need, packed, row_key, table
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -43,26 +43,42 @@ def _counted(docs: DataFrame, hashes: Column, by_id: bool) -> DataFrame:
     return pairs.groupBy("h").agg(F.sum(F.when(F.col("again").isNull(), F.col("_n")).otherwise(1)).alias("n"))
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, by_id: bool = False) -> DataFrame:
-    """The columns of ``docs`` (doc_id, text), with ``kept_text``, ``n_lines`` and ``n_dropped``.
-
-    A line goes if its key has at least ``min_chars`` code points and at least ``min_docs`` rows have it. A null or
-    empty text is one empty line, and stays. Rows count one by one, also if they repeat or their id is null; with
-    ``by_id`` the rows of an id count once, and rows without an id still one by one. Columns that clash with the three
-    results are dropped; an empty table gives no rows.
-    """
+def _cleaned(docs: DataFrame, min_docs: int, min_chars: int, by_id: bool, *replaced: str) -> DataFrame:
+    """row (the columns of ``docs`` but for ``replaced``), kept_text, n_lines, n_dropped."""
     need(docs, "doc_id", "text")
-    keep = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped", "k1", "k2")]
-    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select(*row_key(column("doc_id"), column("text")), column("doc_id").alias("doc_id"), packed(docs, *replaced))
+    text = F.coalesce(F.col("row.text"), F.lit(""))  # read from the row, so that texts are dealt out once
     lines = F.split(text, "\n", -1)
-    keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), *keep)
     hashed = F.transform(lines, lambda x: _hash(x, min_chars))
-    frequent = _counted(docs, F.array_distinct(hashed), by_id).where(F.col("n") >= min_docs).select("h")
+    frequent = _counted(keyed, F.array_distinct(hashed), by_id).where(F.col("n") >= min_docs).select("h")
     frequent = table(frequent, "frequent-lines")  # so that the join deals both sides anew, and Spark can split a hot line
     placed = keyed.select("k1", "k2", F.posexplode(hashed).alias("at", "h")).where(F.col("h").isNotNull()).select("k1", "k2", "at", F.unhex("h").alias("h"))
     hits = placed.join(frequent, "h", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("hit"))
-    rows = keyed.join(hits, ["k1", "k2"], "left").select(*keep, "hit", lines.alias("_lines"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("hit"))
-    kept = F.when(F.col("hit").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at("_lines", i + 1)), "\n"))
+    rows = keyed.drop("doc_id").join(hits, ["k1", "k2"], "left").select("row", "hit", lines.alias("lines"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("hit"))
+    kept = F.when(F.col("hit").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at("lines", i + 1)), "\n"))
     n_dropped = F.when(F.col("hit").isNull(), 0).otherwise(F.size("hit"))
-    return rows.select(*keep, kept.alias("kept_text"), F.size("_lines").cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"))
+    return rows.select("row", kept.alias("kept_text"), F.size("lines").cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"))
+
+
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, by_id: bool = False) -> DataFrame:
+    """The columns of ``docs`` (doc_id, text), with ``kept_text``, ``n_lines`` and ``n_dropped``.
+
+    A line goes if its key has at least ``min_chars`` code points and at least ``min_docs`` rows have it. A null or
+    empty text is one empty line, and stays. Rows count one by one, also if they repeat or their id is null; with
+    ``by_id`` the rows of an id count once, and rows without an id still one by one. Columns named as one of the three
+    results are replaced, all others stay, whatever their names; an empty table gives no rows.
+    """
+    results = ("kept_text", "n_lines", "n_dropped")
+    return _cleaned(docs, min_docs, min_chars, by_id, *results).select("row.*", *results)
+
+
+def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    """``docs`` with the shared lines taken out of ``text``, and ``n_chars``, where there is one, the new number of code points. Null becomes empty.
+
+    Documents count by id, as in ``line_dedup`` with ``by_id``. All columns stay.
+    """
+    types = dict(docs.dtypes)
+    made = {"text": F.col("kept_text")} | ({"n_chars": F.length("kept_text").cast(types["n_chars"])} if "n_chars" in types else {})
+    out = _cleaned(docs, min_docs, min_chars, True)
+    return out.select(*(made.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import need, remainder, row_key, table
+from .common import column, need, remainder, row_key, table
 
 END = b"\n"  # no word holds a newline
 DIM = 16
@@ -252,8 +252,9 @@ def _tables(net: Network) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def score_texts(docs: DataFrame, vocab, net, counts: DataFrame) -> DataFrame:
     """doc_id, text, held_out -> the contract's columns.
 
-    Frequent words need the bounded vocabulary alone. The rare ones leave a row for each distinct word of a
-    text, and the counts meet them in a join by word; a rare word is in few texts, so the join has no hot key.
+    Frequent words need the bounded vocabulary alone. The others leave a row for each distinct word of a
+    text, and the counts meet them in a join by word. These rows are the main cost: about twice the input is shuffled. In a
+    large corpus a word just beyond the vocabulary is in many texts; Spark splits its rows, as the counts have one row a word.
     A text's own row goes the same way under a name that no word has.
     """
     schema = "k1 long, k2 long, doc_id long, held_out boolean, one long, n_tokens long, n_known long, base double, score double, token string, n long"
@@ -322,11 +323,14 @@ def lm_scores(docs: DataFrame, held_out_mod: int = 5, single: int = 2000, freque
     stays null. Rows that repeat are rows of their own. An empty table gives no rows. Other columns are left alone
     and not returned.
 
+    A partition trains on its own rows from common parameters, so the network, and with it ``score``, depends on how the rows are
+    dealt out to partitions; counts and ``base_score`` do not. The same files read with the same settings give the same scores.
+
     The driver and tasks hold ``frequent`` words and about ``single`` x ``single`` scores, whatever the corpus.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), "text", (remainder(F.col("doc_id"), held_out_mod) == 1).alias("held_out"))
+    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text"), (remainder(column("doc_id"), held_out_mod) == 1).alias("held_out"))
     taught = rows.where(~F.col("held_out"))
     counts = table(count_words(taught), "word-counts")
     vocab = spark.sparkContext.broadcast(vocabulary(counts, single, frequent))

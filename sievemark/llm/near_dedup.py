@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import need, row_key, table
+from .common import column, need, packed, release, row_key, table
 
 WIDTH = 5
 BANDS, ROWS = 30, 5
@@ -213,14 +213,16 @@ def components(edges: DataFrame, most: int = 50) -> DataFrame:
     Large-star and small-star steps, each a minimum by node that is summed before the shuffle and a join; the state
     is written after each pair of steps. It is done when every node points at one node that points nowhere.
     """
-    for _ in range(most):
+    for k in range(most):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # every edge now goes from a node to a smaller one
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        edges = table(small, "components")
+        edges, before = table(small, "components"), edges
+        if k:
+            release(before)
         ends = edges.groupBy("a").agg(F.count("*").alias("out")).unionByName(edges.select(F.col("b").alias("a"), F.lit(1).cast("long").alias("out")).distinct())
         if ends.groupBy("a").agg(F.sum("out").alias("out")).where("out > 1").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
@@ -263,13 +265,14 @@ def _slot_counts(texts: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int, held: list[DataFrame]) -> DataFrame:
     """Pairs (a, b) of ``nodes`` (node, label, n, sketch) of different labels that can have a similarity of 0.8.
 
     Bags of m <= n elements need an overlap of 4/9 (m + n), which is at least 8/9 m and 4/5 n. With all elements in one order, such bags
     share one among the first m - 8/9 m + 1 of the smaller and the first n - 4/5 n + 1 of the larger, and from the first that they
     share on enough elements are left in both. That holds in any order; in this one elements of rare slots come first. An edit makes
-    rare elements, so versions of a text that differ too much meet in none, however many share the rest.
+    rare elements, so versions of a text that differ too much meet in none, however many share the rest. Texts whose rarest elements
+    are the same in all pair up as often as sizes and sketches allow; no pair is left out for that.
     """
     own = table(nodes.join(texts.select("node", "text"), "node"), "near-heavy")
     counts = own.sparkSession.sparkContext.broadcast(_slot_counts(own, width))  # a number for each slot, whatever the input
@@ -292,6 +295,7 @@ def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int) -> DataFra
             yield pa.RecordBatch.from_arrays([*held.columns, *more], ["node", "label", "n", "sketch", "el", "at", "early"])
 
     head = table(own.mapInArrow(part, "node long, label long, n long, sketch array<long>, el long, at int, early boolean"), "near-heads")
+    held += [own, head]
     x, y = head.where("early").alias("x"), head.alias("y")
     after = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
     enough = 9 * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= 4 * (F.col("x.n") + F.col("y.n"))
@@ -302,7 +306,7 @@ def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int) -> DataFra
 def _members(docs: DataFrame, width: int) -> DataFrame:
     """k1, k2, doc_id, node and label (null without words) of every row."""
     need(docs, "doc_id", "text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(*row_key(F.col("doc_id"), F.col("text")), "doc_id", "text")
+    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text")).select(*row_key(F.col("doc_id"), F.col("text")), "doc_id", "text")
     signed = table(_signed(rows, width), "near-signed")
     nodes = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     nodes = table(nodes.withColumnRenamed("k1", "q1").withColumnRenamed("k2", "q2"), "near-nodes")
@@ -321,28 +325,34 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     texts = table(texts.join(keyed, ["q1", "q2"]).select("node", "text").dropDuplicates(["node"]), "near-texts")
     links = table(_verified(star, texts, width, (4, 5)), "near-links")
 
+    held = [signed, nodes, cells, star, texts, links]
     label = components(links)
     placed = cells.select("bucket", "node").join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held")).where("low <> high").select("bucket", "held")
     rest = table(placed.join(mixed, "bucket").join(about, "node"), "near-rest")
+    held.append(rest)
     if rest.isEmpty():
-        return _labelled(signed, label)
+        return _labelled(signed, label, held)
     few, many = rest.where(F.col("held") <= DIRECT), rest.where(F.col("held") > DIRECT)
     x, y = few.alias("x"), few.alias("y")
     cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & _sketches_allow("x", "y"))
     cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     if not many.isEmpty():
-        cross = cross.union(_by_rare_shingles(many.select("node", "label", "n", "sketch").distinct(), texts, width))
+        cross = cross.union(_by_rare_shingles(many.select("node", "label", "n", "sketch").distinct(), texts, width, held))
     cross = cross.distinct().join(star, ["a", "b"], "left_anti")
     more = table(_verified(cross, texts, width, (4, 5)), "near-links")
+    held.append(more)
     if not more.isEmpty():
         label = components(links.union(more))
 
-    return _labelled(signed, label)
+    return _labelled(signed, label, held)
 
 
-def _labelled(signed: DataFrame, label: DataFrame) -> DataFrame:
-    return table(signed.select("k1", "k2", "doc_id", "node").join(label, "node", "left").select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
+def _labelled(signed: DataFrame, label: DataFrame, held: list[DataFrame]) -> DataFrame:
+    """The rows with their labels, written; what was written on the way goes."""
+    out = table(signed.select("k1", "k2", "doc_id", "node").join(label, "node", "left").select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
+    release(*held)
+    return out
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -379,8 +389,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     first = classed.join(least, "label").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("label", "k1", "k2")
     one = first.join(first.groupBy("label").agg(F.min("k1").alias("k1")), ["label", "k1"]).groupBy("k1", "k2").agg(F.count("*").alias("c"))
     stay = table(one.union(member.where(F.col("label").isNull()).select("k1", "k2", F.lit(1).cast("long")).distinct()), "near-stay")
-    keyed = docs.select(*row_key(F.col("doc_id").cast("long"), F.col("text")), *(c for c in docs.columns if c not in ("k1", "k2")))
+    keyed = docs.select(*row_key(column("doc_id").cast("long"), column("text")), packed(docs))
     lone = keyed.join(stay.where("c = 1"), ["k1", "k2"], "left_semi")
     if not (again := stay.where("c > 1")).isEmpty():  # rows that repeat as a whole
         lone = lone.unionByName(keyed.join(again, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]))
-    return lone.select(*docs.columns)
+    return lone.select("row.*")

@@ -9,9 +9,8 @@ score is the sum of the table entries of a text's bins, so scoring is a few vect
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -19,15 +18,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import need, remainder, words_of
+from .common import column, need, packed, remainder, words_of
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "digits", "punctuation", "distinct", "top_word", "repeated_lines", "line_words", "pipes", "short_words", "odd_ends", "repeated_pairs")
-_UPPER = re.compile(rb"[A-Z]")
-_DIGIT = re.compile(rb"[0-9]")
-_LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
-_PUNCT = re.compile(rb"[.,;:!?'\"()\-]")
-_ODD = re.compile(rb"[^A-Za-z0-9\x80-\xff.,;:)\"'?]$")
+_UPPER = bytes(range(65, 91))
+_DIGIT = bytes(range(48, 58))
+_LETTER = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
+_PUNCT = b".,;:!?'\"()-"
+#: What a word ends in as a rule.
+_USUAL = frozenset(_LETTER + _DIGIT + b".,;:)\"'?")
+
+
+def _number(raw: bytes, kinds: bytes) -> int:
+    """How many bytes are of some kinds; nothing is held for each of them."""
+    return len(raw) - len(raw.translate(None, kinds))
 
 
 def features(text: str | None) -> list[float]:
@@ -38,24 +44,26 @@ def features(text: str | None) -> list[float]:
         return [0.0] * len(FEATURES)
     raw = text.encode("utf-8", "surrogatepass")
     count = Counter(words)
-    letters = max(1, len(_LETTER.findall(raw)))
+    number = {w: k for k, w in enumerate(count)}
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, n)
+    letters = max(1, _number(raw, _LETTER))
     lines = [x for x in text.split("\n") if x]
-    pairs = len(set(zip(words, words[1:], strict=False)))
+    pairs = len(np.unique(ids[:-1] * len(count) + ids[1:]))
     size = sum(map(len, words))
     return [
         math.log1p(n),
         size / n,
-        sum(map(raw.count, (b"#", b"*", b"$", b"%", b"&", b"<", b">"))) / n,
-        len(_UPPER.findall(raw)) / letters,
-        len(_DIGIT.findall(raw)) / size,
-        len(_PUNCT.findall(raw)) / n,
+        _number(raw, b"#*$%&<>") / n,
+        _number(raw, _UPPER) / letters,
+        _number(raw, _DIGIT) / size,
+        _number(raw, _PUNCT) / n,
         len(count) / n**0.85,
         max(count.values()) / n,
         1 - len(set(lines)) / max(1, len(lines)),
         n / max(1, len(lines)),
         raw.count(b"|") / n,
         sum(len(w) <= 3 for w in words) / n,
-        sum(1 for w, k in count.items() if _ODD.search(w)) / len(count),
+        sum(w[-1] not in _USUAL for w in count) / len(count),
         1 - pairs / max(1, n - 1),
     ]
 
@@ -153,53 +161,61 @@ def fit(x: np.ndarray, y: np.ndarray, n_bins: int = 24, rounds: int = 150, n_pai
     return model
 
 
-def _featured(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and the array ``x`` of features."""
+def _arrow(docs: DataFrame, text: Callable[[pa.RecordBatch], pa.Array], made: Callable[[list[list[float]]], pa.Array], name: str, kind: str, drop: Sequence[str] = ()) -> DataFrame:
+    """``docs`` but for ``drop``, with the column ``name`` made of the features of a batch's texts."""
+    keep = [c for c in docs.columns if c not in drop]
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = pa.array([features(t.as_py()) for t in batch.column("text")], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), x], [*keep, "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), made([features(t.as_py()) for t in text(batch)])], [*keep, name])
 
-    types = dict(docs.dtypes)
-    return docs.select(*keep, "text").mapInArrow(part, ", ".join(f"`{c}` {types[c]}" for c in keep) + ", x array<double>")
+    schema = T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL(f"{name} {kind}").fields])
+    return docs.mapInArrow(part, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out_mod: int = 3, sample: int = 16_000) -> AdditiveModel:
     """Fit on labelled rows that are not held out.
 
     At most ``sample`` labelled ids are used, those with the least hash: the one bound on what is learned from. Null
-    labels and ids teach nothing; an id with several labels has their mean, cut at one half; equal ids of documents all teach.
+    labels and ids teach nothing; an id with several labels has their mean, cut at one half. An id teaches once: of
+    several texts, the one whose features come first in order. So the model depends on the rows, not on their order.
     """
+    need(docs, "doc_id", "text")
     need(labels, "doc_id", "quality")
+    labels = labels.select(column("doc_id").alias("doc_id"), column("quality").alias("quality"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (remainder(F.col("doc_id"), held_out_mod) != 1))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = _featured(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), ["doc_id", "quality"])
-    got = sorted((r.doc_id, r.quality, tuple(r.x)) for r in rows.limit(2 * sample).collect())  # the sum of a bounded sample, in one order
+    rows = docs.select(column("doc_id").alias("doc_id"), column("text").alias("text")).join(F.broadcast(known), "doc_id")
+    rows = _arrow(rows, lambda batch: batch.column("text"), lambda x: pa.array(x, pa.list_(pa.float64())), "x", "array<double>", ["text"])
+    got = sorted((r.doc_id, r.quality, tuple(r.x)) for r in rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect())  # one row by id of the sample
     return fit(np.array([r[2] for r in got]).reshape(-1, len(FEATURES)), np.array([r[1] for r in got], float))
 
 
+def _scored(docs: DataFrame, model: AdditiveModel, held_out_mod: int, *replaced: str) -> DataFrame:
+    """row (the columns of ``docs`` but for ``replaced``), held_out, score, predicted."""
+    need(docs, "doc_id", "text")
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(packed(docs, *replaced), (remainder(column("doc_id"), held_out_mod) == 1).alias("held_out"))
+    made = lambda x: pa.array(held.value.score(np.array(x).reshape(-1, len(FEATURES))))
+    out = _arrow(rows, lambda batch: batch.column("row").field("text"), made, "score", "double")
+    return out.select("row", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def score_quality(docs: DataFrame, model: AdditiveModel, held_out_mod: int = 3) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text); other columns pass through.
+    """The columns of ``docs`` (doc_id, text), with held_out, score and predicted for every row.
 
     A null text is empty. A null id counts as the empty text for the split. Repeated rows are rows of their own.
-    Columns that clash with the four results are dropped.
+    Columns named as one of the three results are replaced, all others stay; an empty table gives no rows.
     """
-    need(docs, "doc_id", "text")
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
-    types = dict(docs.dtypes)
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([features(t.as_py()) for t in batch.column("text")]).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.value.score(x))], [*keep, "score"])
-
-    out = docs.select(*keep).mapInArrow(part, ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double")
-    return out.select(*keep, (remainder(F.col("doc_id"), held_out_mod) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    results = ("held_out", "score", "predicted")
+    return _scored(docs, model, held_out_mod, *results).select("row.*", *results)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out_mod: int = 3, sample: int = 16_000) -> DataFrame:
     """Train on ``labels`` and score every row of ``docs``."""
     return score_quality(docs, train(docs, labels, held_out_mod, sample), held_out_mod)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, held_out_mod: int = 3, sample: int = 16_000) -> DataFrame:
+    """The rows of ``docs`` that the model trained on ``labels`` predicts to be good; all their columns stay."""
+    return _scored(docs, train(docs, labels, held_out_mod, sample), held_out_mod).where("predicted = 1").select("row.*")

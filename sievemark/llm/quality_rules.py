@@ -1,4 +1,4 @@
-"""Line-first cleaning: rules judge every line, failing lines go, then texts that lost too much go.
+"""Line-first cleaning: punctuation, navigation and boilerplate rules judge every line, failing lines go, then texts that lost too much go.
 
 All work is by row, so there is no shuffle; a task holds a slice of rows at a time.
 """
@@ -6,13 +6,14 @@ All work is by row, so there is no shuffle; a task holds a slice of rows at a ti
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import need, words_of
+from .common import column, need, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Ends of a sentence, before closing quotes and brackets.
@@ -27,23 +28,28 @@ BOILERPLATE = re.compile(
 )
 SEPARATORS = re.compile(r"(?:^|\s)[|>»•·/](?=\s|$)")
 NOISE = re.compile(r"[^\w\s.,;:?'\"()\-–—’“”«»¿¡…]")
-LINE_RULES = ("navigation", "noise", "boilerplate", "fragment")
+PAUSE = re.compile(r"[.,;:!?…。！？]")
+#: How often a line may be in one text before it counts as page furniture.
+FURNITURE = 3
+LINE_RULES = ("navigation", "noise", "boilerplate", "unpunctuated", "fragment")
 
 
 def judge_line(line: str, n_words: int) -> str | None:
     """The first rule of ``LINE_RULES`` that a line with words fails, or None.
 
     navigation: two or more lone separators, one for every four words at least. noise: more than one odd
-    symbol for every two words. boilerplate: a known phrase in a line of at most 30 words. fragment: at most
-    three words without a sentence's end.
+    symbol for every two words. boilerplate: a known phrase for every thirty words at least. unpunctuated: more than
+    thirty words without one pause or end. fragment: at most three words without a sentence's end.
     """
     seps = len(SEPARATORS.findall(line))
     if seps >= 2 and 4 * seps >= n_words:
         return "navigation"
     if len(NOISE.findall(line)) * 2 > n_words + 2:
         return "noise"
-    if n_words <= 30 and BOILERPLATE.search(line.lower()):
+    if 30 * len(BOILERPLATE.findall(line.lower())) >= n_words:
         return "boilerplate"
+    if n_words > 30 and not PAUSE.search(line):
+        return "unpunctuated"
     if n_words <= 3 and not TERMINAL.search(line.rstrip()):
         return "fragment"
     return None
@@ -73,12 +79,17 @@ def repeated_words(words: list[bytes], width: int = 3) -> int:
 
 
 def clean(text: str | None) -> dict:
-    """Counts, the lines kept, and the verdict on one text."""
+    """Counts, the lines kept, and the verdict on one text.
+
+    Two rules need the whole text: a line found ``FURNITURE`` times in it is furniture (boilerplate), and short lines without
+    an end (``is_open``) that are most of its lines are a menu (fragment).
+    """
     text = text or ""
     words = words_of(text)
     seen, n_dup, kept, lost = set(), 0, [], dict.fromkeys(LINE_RULES, 0)
     chars = kept_chars = 0
     lines = [(line, words_of(line)) for line in text.split("\n")]
+    often = {x for x, n in Counter(line.strip() for line, own in lines if own).items() if n >= FURNITURE}
     n_open = sum(is_open(line, len(own)) for line, own in lines)
     menu = n_open >= 3 and 2 * n_open > sum(bool(own) for _, own in lines)
     for line, own in lines:
@@ -89,7 +100,7 @@ def clean(text: str | None) -> dict:
         seen.add(line)
         size = sum(map(len, own))
         chars += size
-        rule = judge_line(line, len(own)) or ("fragment" if menu and is_open(line, len(own)) else None)
+        rule = judge_line(line, len(own)) or ("boilerplate" if line.strip() in often else "fragment" if menu and is_open(line, len(own)) else None)
         if rule:
             lost[rule] += 1
         else:
@@ -135,4 +146,4 @@ def quality_rules(docs: DataFrame, with_text: bool = True) -> DataFrame:
                 made = [clean(t.as_py()) for t in rows.column(1)]
                 yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array([m[k] for m in made], _ARROW[v]) for k, v in out.items())], ["doc_id", *out])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(part, "doc_id long, " + ", ".join(f"{k} {v}" for k, v in out.items()))
+    return docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text")).mapInArrow(part, "doc_id long, " + ", ".join(f"{k} {v}" for k, v in out.items()))

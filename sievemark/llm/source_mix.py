@@ -9,10 +9,10 @@ are put in order, so no source is ever sorted or gathered, however large.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, need, row_key, table
+from .common import WORD, column, need, packed, release, row_key, table
 
 BINS = 4096
 
@@ -36,10 +36,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float =
     return rows.select("source", "source_size", "weight", F.when(F.col("stops"), F.col("full")).otherwise(F.coalesce(level, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
-def _ranked(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with size, u (a random number in (0, 1) fixed by doc_id, source and text) and the row's key."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select("*", size.alias("size"), *row_key(F.col("doc_id"), F.col("source"), F.col("text")))
+def _ranked(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
+    """source, size, u (a random number in (0, 1) fixed by doc_id, source and text), the row's key, and ``more``."""
+    size = F.coalesce(F.regexp_count(column("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(*more, column("source").alias("source"), size.alias("size"), *row_key(column("doc_id"), column("source"), column("text")))
     return rows.withColumn("u", (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "k1", "k2"), 11) + 0.5) / float(1 << 53))
 
 
@@ -52,7 +52,7 @@ def _place(tilt: float):
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 17, tilt: float = 0.25) -> DataFrame:
     """One row per source: source_size, target, whole copies, and the rank and key at which its sample ends."""
-    rows = table(_ranked(docs.select("doc_id", "source", "text"), seed).select("source", "size", "u", "k1", "k2"), "mix-rows")
+    rows = table(_ranked(docs, seed), "mix-rows")
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.pow(F.col("size"), F.lit(tilt))).alias("tilted"))
     goal = targets(sums.select("source", "source_size"), weights, cap)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -68,7 +68,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0
         return found.join(right, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
     live = inside(rows.where(F.col("size") > 0), goal.where(F.col("rest") > 0).select("source", "rest", "part", "mean")).select("source", "size", "k1", "k2", "rest", _place(tilt).alias("place"))
-    scale, last = BINS, None
+    scale, last, bins = BINS, None, []
     for _ in range(2):
         binned = live if last is None else inside(live.drop("rest"), last).where(F.floor(F.col("place") * (scale // BINS)) == F.col("bin")).drop("bin")
         steps = binned.withColumn("b", F.floor(F.col("place") * scale)).groupBy("source", "b").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
@@ -76,15 +76,19 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0
         steps = steps.withColumn("upto", upto).where(F.col("upto") < F.col("rest"))
         last = steps.groupBy("source").agg(F.max_by("b", "b").alias("bin"), (F.max_by("rest", "b") - F.max_by("upto", "b")).alias("rest"))
         last = table(last, "mix-bin")
+        bins.append(last)
         scale *= BINS
     ends = inside(live.drop("rest"), last).where(F.floor(F.col("place") * (scale // BINS)) == F.col("bin"))
+    # rows that repeat have one place and go together: the head ends before or after all of them, whichever is nearer
+    ends = ends.groupBy("source", "place", "k1", "k2").agg(F.sum("size").alias("size"), F.max("rest").alias("rest"))
     order = Window.partitionBy("source").orderBy("place", "k1", "k2")
     ends = ends.withColumn("upto", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ends = ends.where(F.col("upto") + F.col("size") / 2 <= F.col("rest")).groupBy("source").agg(F.max(F.struct("place", "k1", "k2")).alias("end"))
     floor = last.select("source", (F.col("bin") / float(scale // BINS)).alias("below"))
     out = goal.join(floor.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    out = out.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    return table(out, "mix-plan")
+    out = table(out.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "mix-plan")
+    release(rows, goal, *bins)
+    return out
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 17, tilt: float = 0.25) -> DataFrame:
@@ -92,15 +96,16 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: floa
 
     ``size`` is the number of words (a null text: 0), ``copies`` how often the mix has the document, at most ``cap`` times,
     ``taken`` their product. Null is a source like any other, in the last place. Rows with equal doc_id, source and text have
-    one random number and so one fate. The result depends on the rows and the seed, not on their order. Columns that
-    clash with the results are dropped; an empty table gives no rows.
+    one random number and so one fate, so a source's words meet its target to within half of its largest document, its repeats
+    counted together. The result depends on the rows and the seed, not on their order. Columns named as one of the
+    results are replaced, all others stay, whatever their names; an empty table gives no rows.
     """
     need(docs, "doc_id", "source", "text")
-    keep = [c for c in docs.columns if c not in {"size", "source_size", "target", "copies", "taken", "k1", "k2", "u"}]
+    results = ("size", "source_size", "target", "copies", "taken")
     known = plan(docs, weights, cap, seed, tilt)
-    rows = _ranked(docs.select(*keep), seed)
-    rows = rows.join(known.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("place", _place(tilt))
+    rows = _ranked(docs, seed, packed(docs, *results))
+    rows = rows.join(known.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumn("place", _place(tilt))
     head = (F.col("place") < F.col("below")) | F.coalesce(F.struct("place", "k1", "k2") <= F.col("end"), F.lit(False))
     more = F.coalesce((F.col("size") > 0) & head, F.lit(False)).cast("int")
     copies = F.col("whole") + more
-    return rows.select(*keep, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return rows.select("row.*", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import need
+from .common import column, need
 
 
 @dataclass(frozen=True)
@@ -98,27 +98,45 @@ class WildcardAutomaton:
             self.start[i // 64] |= bit(i)
         self.ends = np.array(ends, np.int64)
 
-    def match(self, subjects: Sequence[str]) -> np.ndarray:
-        """Subjects x patterns, boolean. Subjects go in order of length, so a step touches only those still running."""
+    def match(self, subjects: Sequence[str], cells: int = 4_000_000) -> np.ndarray:
+        """Subjects x patterns, boolean.
+
+        Subjects go in order of length, in batches of at most ``cells`` bytes with their padding, so a long one brings few
+        others along; one that is alone in its batch is walked with all words of the automaton in one integer.
+        """
+        out = np.zeros((len(subjects), len(self.patterns)), bool)
         if not len(subjects) or not self.patterns:
-            return np.zeros((len(subjects), len(self.patterns)), bool)
+            return out
         raw = [s.encode("utf-8", "surrogatepass") for s in subjects]
+        order = np.argsort([-len(r) for r in raw], kind="stable")
+        at = 0
+        while at < len(order):
+            some = order[at : at + max(1, cells // max(1, len(raw[order[at]])))]
+            out[some] = self._alone(raw[some[0]]) if len(some) == 1 else self._together([raw[i] for i in some])
+            at += len(some)
+        return out
+
+    def _together(self, raw: list[bytes]) -> np.ndarray:
+        """Subjects from the longest to the shortest: a step touches only those still running."""
         size = np.array([len(r) for r in raw])
-        order = np.argsort(-size, kind="stable")
-        chars = np.zeros((len(raw), max(1, size.max())), np.uint8)
-        for k, i in enumerate(order):
-            chars[k, : size[i]] = np.frombuffer(raw[i], np.uint8)
-        running = np.searchsorted(-size[order], -np.arange(chars.shape[1]), side="left")  # subjects longer than each position
+        chars = np.zeros((len(raw), max(1, size[0])), np.uint8)
+        for k, r in enumerate(raw):
+            chars[k, : size[k]] = np.frombuffer(r, np.uint8)
+        running = np.searchsorted(-size, -np.arange(chars.shape[1]), side="left")  # subjects longer than each position
         state = np.repeat(self.start[None, :], len(raw), axis=0)
         for at in range(chars.shape[1]):
             d, c = state[: running[at]], chars[: running[at], at]
             moved = d << np.uint64(1)
             moved[:, 1:] |= d[:, :-1] >> np.uint64(63)  # the carry from word to word
             state[: running[at]] = (moved & self.step[c]) | (d & self.loop[c])
-        done = (state[:, self.ends // 64] >> (self.ends % 64).astype(np.uint64)) & np.uint64(1)
-        out = np.empty((len(raw), len(self.patterns)), bool)
-        out[order] = done.astype(bool)
-        return out
+        return ((state[:, self.ends // 64] >> (self.ends % 64).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+    def _alone(self, raw: bytes) -> np.ndarray:
+        whole = lambda words: int.from_bytes(words.astype("<u8").tobytes(), "little")
+        step, loop, state = [whole(w) for w in self.step], [whole(w) for w in self.loop], whole(self.start)
+        for c in raw:
+            state = ((state << 1) & step[c]) | (state & loop[c])
+        return np.array([state >> int(e) & 1 for e in self.ends], bool)
 
 
 def _escaped(text: str) -> bool:
@@ -130,7 +148,8 @@ def url_filters(pages: DataFrame, rules: Sequence[Rule], blocks: Sequence[str] =
 
     The longest rule that fits decides; equal lengths: the one named first. Where none fits, a glob of
     ``blocks`` over host and path blocks and its text is in ``glob``, else the verdict is allow. A null URL, and one without ``://``, has an
-    empty host and path, which no rule fits. Repeated rows are judged one by one; other columns are not returned.
+    empty host and path, which no rule fits. Repeated rows are judged one by one; an empty table gives no rows; other columns
+    are not returned. Memory does not depend on how long a URL is, but for the URL itself.
     """
     need(pages, "page_id", "url")
     if bad := [r for r in rules if _escaped(r.name) or r.verdict not in ("allow", "block")]:
@@ -157,4 +176,4 @@ def url_filters(pages: DataFrame, rules: Sequence[Rule], blocks: Sequence[str] =
                     why.append(g)
                 yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(x, pa.string()) for x in ([h for h, _ in split], [p for _, p in split], names, verdicts, why))], ["page_id", "host", "path", "rule", "verdict", "glob"])
 
-    return pages.selectExpr("cast(page_id as long) page_id", "url").mapInArrow(part, "page_id long, host string, path string, rule string, verdict string, glob string")
+    return pages.select(column("page_id").cast("long").alias("page_id"), column("url").alias("url")).mapInArrow(part, "page_id long, host string, path string, rule string, verdict string, glob string")

@@ -10,16 +10,12 @@ from sievemark.llm import common, decontamination, line_dedup, near_dedup, quali
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    scored = quality_classifier.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the lines that many documents share; ``n_chars`` follows the text."""
-    out = line_dedup.line_dedup(docs, by_id=True).withColumn("text", F.col("kept_text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    return line_dedup.drop_lines(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +29,10 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the mix, with ``copies``, how often each is in it, and ``taken``, its words in it."""
-    out = source_mix.mix_sources(docs)
-    return out.where(F.col("copies") > 0).select(*docs.columns, "copies", "taken")
+    """Documents in the mix, with ``copies``, how often each is in it, and ``taken``, its words in it; columns of those names are replaced."""
+    out = source_mix.mix_sources(docs).where(F.col("copies") > 0)
+    more = [c for c in ("size", "source_size", "target") if c not in docs.columns]
+    return out.drop(*more)
 
 
 STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("near_dedup", near), ("decontamination", contamination), ("source_mix", mix)]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .text import markdown_word_count, word_count
 
 # Fixed values.
@@ -20,26 +24,43 @@ AGE = r"(?iU)\b(age\s+(gate|verification|check)|are\syou\s(over|older\s+than)\s+
 LOGIN = r"(?iU)\b(sign\s?in|log\s?in|account\s+required|please\s+sign\s+in|members?\sonly|subscription\s+required|subscribe\s+to\s+continue|paywall|premium\s+content)\b"
 
 
+#: Reason, pattern, least hits and least share of words of each kind of page that is not worth keeping, and pieces of which every match has one.
+DOMINANT = (
+    ("cookie-dominant", COOKIE, 4, 0.02, ("cookie", "tracking", "accept", "agree", "privacy", "sell", "gdpr", "ccpa", "cmp", "one", "quantcast", "trustarc", "didomi", "iubenda")),
+    ("legal-dominant", LEGAL, 12, 0.015, ("terms", "content", "ugc", "privacy", "licens", "royalty", "perpetual", "irrevoc", "indemnif", "warrant", "governed", "jurisdiction", "publicity", "right")),
+    ("age-dominant", AGE, 2, 0.003, ("gate", "verification", "check", "over", "older", "birth", "dob", "must")),
+    ("login-required", LOGIN, 3, 0.004, ("sign", "log", "account", "member", "subscri", "paywall", "premium")),
+)
+LEAST_TOTAL = 80
+HEADING, BULLET = r"(?m)^\s*#{1,6}\s+\S", r"(?m)^\s*[-*+]\s+\S"
+
+
 def gate(text: Column, min_words: int = 30, cookie_cap: float = 0.02, structure: bool = True) -> Column:
-    """Struct (action, reason): save/ok, or suppress with why."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
-    words, least = markdown_word_count(t), max(5, min_words)
-    shaped = t.rlike(r"(?m)^\s*#{1,6}\s+\S") | t.rlike(r"(?m)^\s*[-*+]\s+\S")
-    total = word_count(t)
-
-    def dominant(pattern: str, hits: int, share: float) -> Column:
-        n = F.regexp_count(t, F.lit(pattern))
-        return (total >= 80) & (n >= hits) & (n / F.greatest(total, F.lit(1)) >= share)
-
-    reason = F.when(t == "", "empty")
-    if structure:
-        reason = reason.when(~shaped & (words < least), "no-structure")
-    reason = (
-        reason.when(words < least, "too-short")
-        .when(dominant(COOKIE, 4, min(0.02, max(0.001, cookie_cap))), "cookie-dominant")
-        .when(dominant(LEGAL, 12, 0.015), "legal-dominant")
-        .when(dominant(AGE, 2, 0.003), "age-dominant")
-        .when(dominant(LOGIN, 3, 0.004), "login-required")
-        .otherwise("ok")
-    )
-    return F.struct(F.when(reason == "ok", "save").otherwise("suppress").alias("action"), reason.alias("reason"))
+    """Struct (action, reason): save/ok, or suppress with why.
+
+    Each count is worked out once, and only where no reason before it holds.
+    """
+    least = max(5, min_words)
+
+    def enough(total: Column, hits: int, share: float) -> Callable[[Column], Column]:
+        return lambda n: (n >= hits) & (n / F.greatest(total, F.lit(1)) >= share)
+
+    def dominant(t: Column) -> Column:
+        def tried(x: Column) -> Column:
+            low, total, out = x["low"], x["total"], F.lit("ok")
+            for reason, pattern, hits, share, pieces in reversed(DOMINANT):
+                share = min(share, max(0.001, cookie_cap)) if reason == "cookie-dominant" else share
+                n = F.when(reduce(lambda a, b: a | b, (F.contains(low, F.lit(p)) for p in pieces)), F.regexp_count(low, F.lit(pattern.replace("(?iU)", "(?U)")))).otherwise(0)
+                out = F.when(let(n, enough(total, hits, share)), reason).otherwise(out)
+            return F.when(total >= LEAST_TOTAL, out).otherwise("ok")
+
+        # letters whose other case is an ASCII letter count as that; so patterns need not try both cases
+        low = F.translate(F.lower(F.translate(t, "İ", "i")), "ſı", "si")
+        return let(F.struct(low.alias("low"), word_count(t).alias("total")), tried)
+
+    def reason(t: Column) -> Column:
+        short = F.when(~(t.rlike(HEADING) | t.rlike(BULLET)), "no-structure").otherwise("too-short") if structure else F.lit("too-short")
+        return F.when(t == "", "empty").otherwise(let(markdown_word_count(t), lambda words: F.when(words < least, short).otherwise(dominant(t))))
+
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return let(let(trimmed, reason), lambda r: F.struct(F.when(r == "ok", "save").otherwise("suppress").alias("action"), r.alias("reason")))

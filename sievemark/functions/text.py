@@ -44,7 +44,7 @@ def token_count(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.coalesce(F.regexp_count(c, F.lit(r"(?U)\b\w+\b")), F.lit(0))
+    return F.coalesce(F.regexp_count(c, F.lit(r"(?U)\w+")), F.lit(0))
 
 
 def markdown_word_count(c: Column) -> Column:

@@ -53,7 +53,7 @@ def retry_state(t):
     return retry.state(ledger(t("events"))).select("company_id", "attempts", "quarantine")
 
 
-@C.query("eligible_now", f"WITH {_STATE}, z AS (SELECT q.quarantine, CAST(epoch(ts) AS BIGINT) + {_DELAY.replace('attempts', 'q.attempts')} AS due FROM st JOIN q ON q.ord = st.ord JOIN events v ON v.event_id = st.ord) SELECT count(*) AS companies, count(*) FILTER (quarantine IS NULL AND due <= 1706000000) AS eligible, count(*) FILTER (quarantine IS NOT NULL) AS quarantined, CAST(min(due) FILTER (quarantine IS NULL AND due > 1706000000) AS DOUBLE) AS next_at FROM z")
+@C.query("eligible_now", f"WITH {_STATE}, z AS (SELECT q.quarantine, CAST(floor(epoch(ts)) AS BIGINT) + {_DELAY.replace('attempts', 'q.attempts')} AS due FROM st JOIN q ON q.ord = st.ord JOIN events v ON v.event_id = st.ord) SELECT count(*) AS companies, count(*) FILTER (quarantine IS NULL AND due <= 1706000000) AS eligible, count(*) FILTER (quarantine IS NOT NULL) AS quarantined, CAST(min(due) FILTER (quarantine IS NULL AND due > 1706000000) AS DOUBLE) AS next_at FROM z")
 def eligible_now(t):
     return retry.eligible(retry.state(ledger(t("events"))), 1706000000.0)
 
@@ -71,9 +71,8 @@ def stall_storms(t):
 
 
 @C.query("ramp_rate", """WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS DOUBLE) AS s, value FROM events), w AS (SELECT event_id, s, value, user_id, min(s) OVER (PARTITION BY user_id ORDER BY s RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS s0 FROM e),
-u AS (SELECT user_id, s FROM e GROUP BY 1, 2 HAVING count(*) = 1) SELECT w.event_id, round(CASE WHEN w.s > s0 THEN (w.value - f.value) / (w.s - s0) ELSE 0 END, 6) + 0.0 AS ramp FROM w JOIN e f ON f.user_id = w.user_id AND f.s = s0 JOIN u ON u.user_id = w.user_id AND u.s = s0""")
+f AS (SELECT user_id, s, arg_min(value, event_id) AS value FROM e GROUP BY 1, 2) SELECT w.event_id, round(CASE WHEN w.s > s0 THEN (w.value - f.value) / (w.s - s0) ELSE 0 END, 6) + 0.0 AS ramp FROM w JOIN f ON f.user_id = w.user_id AND f.s = s0""")
 def ramp_rate(t):
-    # a row for every event; the SQL still leaves out windows that begin at a second with several events of the user
     rows = t("events").select("event_id", "user_id", F.unix_timestamp("ts").cast("double").alias("ts"), F.col("value").alias("used"))
     return retry.ramp(rows, "user_id", 86400, "event_id").select("event_id", (F.round("ramp", 6) + 0.0).alias("ramp"))
 

@@ -112,7 +112,7 @@ SELECT page_id, CASE WHEN len(segs) > 0 AND lower(regexp_extract(segs[-1], '\\.(
   WHEN len(lang) > 0 AND lang[1] NOT IN ('en') THEN 'language' END AS reject_reason FROM v""",
 )
 def url_filter_chain(t):
-    known = t("region").limit(1).select(F.lit("example.net").alias("domain"))
+    known = t("region").sparkSession.createDataFrame([("example.net",)], "domain string")
     return urlfilter.filter_chain(t("pages").select("page_id", "url"), "url", "page_id", F.lit("example.com"), LANGUAGES, ("en",), known).select("page_id", "reject_reason")
 
 
@@ -146,11 +146,19 @@ def llm_chunks(t):
     return rows.select("conv_id", "turn", F.col("k").cast("long").alias("k"), "chunk")
 
 
-@C.query("md_gate", r"""WITH d AS (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents), w AS (SELECT *, len(regexp_extract_all(t, '(?i)[a-z0-9’'']+')) AS n, regexp_matches(t, '(?m)^\s*#{1,6}\s+\S') OR regexp_matches(t, '(?m)^\s*[-*+]\s+\S') AS shaped,
-  len(regexp_extract_all(t, '(?i)\b(sign\s?in|log\s?in|account\s+required|please\s+sign\s+in|members?\sonly|subscription\s+required|subscribe\s+to\s+continue|paywall|premium\s+content)\b')) AS login FROM d)
-SELECT doc_id, CASE WHEN r = 'ok' THEN 'save' ELSE 'suppress' END AS action, r AS reason FROM (SELECT doc_id, CASE WHEN t = '' THEN 'empty' WHEN NOT shaped AND n < 30 THEN 'no-structure' WHEN n < 30 THEN 'too-short' ELSE 'ok' END AS r FROM w)""")
+#: Pieces that are put before and after a text, by its id, so that each reason to suppress a page comes up.
+_NOTICES = ("", "We use cookies. Accept all cookies or change your cookie settings, see our cookie policy. ", "Terms of use, privacy policy, license, warranty, jurisdiction, perpetual, royalty-free. ", "Are you over 18? Age verification. ", "Please sign in. Members only, log in. ")
+_NOTICE_SQL = f"repeat([{', '.join(repr(x) for x in _NOTICES)}][1 + doc_id % 5], 1 + doc_id % 37)"
+_LONG_AGO = lambda pattern: pattern.replace("(?iU)", "(?i)").replace("'", "''")
+_DOMINANT = " ".join(f"WHEN total >= {gating.LEAST_TOTAL} AND len(regexp_extract_all(t, '{_LONG_AGO(p)}')) >= {hits} AND len(regexp_extract_all(t, '{_LONG_AGO(p)}')) / total::DOUBLE >= {share} THEN '{reason}'" for reason, p, hits, share, _ in gating.DOMINANT)
+
+
+@C.query("md_gate", rf"""WITH d AS (SELECT doc_id, regexp_replace({_NOTICE_SQL} || text, '^\s+|\s+$', '', 'g') AS t FROM documents), w AS (SELECT *, len(regexp_extract_all(t, '(?i)[a-z0-9’'']+')) AS n, len(regexp_extract_all(t, '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+')) AS total,
+  regexp_matches(t, '(?m)^\s*#{{1,6}}\s+\S') OR regexp_matches(t, '(?m)^\s*[-*+]\s+\S') AS shaped FROM d)
+SELECT doc_id, CASE WHEN r = 'ok' THEN 'save' ELSE 'suppress' END AS action, r AS reason FROM (SELECT doc_id, CASE WHEN t = '' THEN 'empty' WHEN NOT shaped AND n < 30 THEN 'no-structure' WHEN n < 30 THEN 'too-short' {_DOMINANT} ELSE 'ok' END AS r FROM w)""")
 def md_gate(t):
-    return t("documents").select("doc_id", gating.gate(F.col("text")).alias("g")).select("doc_id", "g.action", "g.reason")
+    notice = F.repeat(F.element_at(F.array(*map(F.lit, _NOTICES)), (F.col("doc_id") % 5 + 1).cast("int")), (1 + F.col("doc_id") % 37).cast("int"))
+    return t("documents").select("doc_id", gating.gate(F.concat(notice, F.col("text"))).alias("g")).select("doc_id", "g.action", "g.reason")
 
 
 _BM = """WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+|[぀-ゟ]+|[゠-ヿ]+|[一-鿿]+') AS w FROM documents),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 MARK = "\u0001"
 
 
@@ -116,3 +118,20 @@ def main_content(c: Column) -> Column:
 def alias_pattern(alias: Column) -> Column:
     """Regular expression for an alias: its words with any other characters between, at word borders, in either case."""
     return F.concat(F.lit(r"(?i)(?<![a-z0-9])"), F.array_join(ascii_words(alias), "[^a-z0-9]+"), F.lit(r"(?![a-z0-9])"))
+
+
+def profile_sentences(c: Column) -> Column:
+    """Sentences of a profile: bullets and marks of lists part chunks, which part after ``.!?``; of two that differ in case alone the first stays."""
+    chunks_of = F.split(clean_ws(c), r"(?:\n|\r|•|\*|- )+")
+    cut = F.flatten(F.transform(chunks_of, lambda x: F.split(F.trim(x), r"(?<=[.!?])\s+")))
+    kept = F.filter(F.transform(cut, lambda s: F.trim(s)), lambda s: s != "")
+
+    def first(items: Column) -> Column:
+        return let(F.transform(items, lambda s: F.lower(s)), lambda low: F.transform(F.array_distinct(low), lambda s: F.element_at(items, F.array_position(low, s).cast("int"))))
+
+    return let(kept, first)
+
+
+def id_list(c: Column) -> Column:
+    """The distinct ids of an array of texts, in order, without blanks."""
+    return F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: F.coalesce(x, F.lit("")) != ""))

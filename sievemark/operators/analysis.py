@@ -117,3 +117,66 @@ def industry_rollup(offerings: DataFrame, companies: DataFrame) -> DataFrame:
 def running_usage(samples: DataFrame) -> DataFrame:
     """mean, peak and delta of ``used`` over samples (ts, used)."""
     return samples.agg(F.avg("used").alias("mean"), F.max("used").alias("peak"), (F.max_by("used", "ts") - F.min_by("used", "ts")).alias("delta"))
+
+
+# Fixed values.
+TERMINAL_STATUS = r"(?i)(terminal|doomed|dead|permanent|gave[_\s-]?up|abandon|skip)"
+CRAWLED_STATUS = r"(?i)(crawled|md_done|llm_done|done|finished|completed)"
+LEVEL_ONE_SOURCES = ("industry", "fallback", "industry_only", "lv1")
+
+
+def state_flags(meta: DataFrame, pages: DataFrame) -> DataFrame:
+    """company_id, crawled, terminal_done, md_done, llm_done. meta: company_id, status, crawl_finished, urls_total, urls_md, urls_llm; pages: company_id by page."""
+    n = pages.groupBy("company_id").agg(F.count("*").alias("_pages"))
+    rows = meta.join(n, "company_id", "left").withColumn("_pages", F.coalesce("_pages", F.lit(0)))
+    status, total = F.coalesce("status", F.lit("")), F.coalesce("urls_total", F.lit(0))
+    total = F.when(total <= 0, F.col("_pages")).otherwise(total)
+    done = lambda c: (total > 0) & (F.coalesce(c, F.lit(0)) >= total)
+    crawled = F.coalesce("crawl_finished", F.lit(False)) | status.rlike(CRAWLED_STATUS) | (F.col("_pages") > 0)
+    return rows.select("company_id", crawled.alias("crawled"), status.rlike(TERMINAL_STATUS).alias("terminal_done"), done("urls_md").alias("md_done"), done("urls_llm").alias("llm_done"))
+
+
+def resolve_labels(meta: DataFrame, industries: DataFrame) -> DataFrame:
+    """``meta`` (industry, nace, industry_label, industry_label_source) with label_lv1 and label_lv2.
+
+    The label is of level two if its source is ``industry+nace`` and there is a code; of level one if the source says so, else the code's in
+    ``industries`` (industry, label; one row each).
+    """
+    label, source = F.nullif(F.trim("industry_label"), F.lit("")), F.trim("industry_label_source")
+    rows = meta.join(industries.select("industry", F.nullif(F.trim("label"), F.lit("")).alias("_known")), "industry", "left")
+    two = F.when((source == "industry+nace") & F.col("nace").isNotNull(), label)
+    one = F.coalesce(F.when(source.isin(*LEVEL_ONE_SOURCES), label), F.col("_known"))
+    return rows.withColumns({"label_lv1": one, "label_lv2": two}).drop("_known")
+
+
+def global_totals(metrics: DataFrame, stored_urls: int = 0, with_llm: bool = True) -> DataFrame:
+    """One row of sums over companies (total_urls, markdown_saved, md_tokens, llm_output_tokens, offerings); ``stored_urls`` counts where no URL does."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    paid = lambda c: total(c) if with_llm else F.lit(0).cast("long")
+    urls = total("total_urls")
+    return metrics.agg(
+        F.count("*").alias("companies_total"), F.when(urls > 0, urls).otherwise(F.lit(stored_urls).cast("long")).alias("urls_total"), total("markdown_saved").alias("markdown_saved_total"), total("md_tokens").alias("md_tokens_total"),
+        paid("llm_output_tokens").alias("llm_output_tokens_total"), paid("offerings").alias("offerings_total"), F.lit(with_llm).alias("llm_metrics_enabled"),
+    )
+
+
+def saved_counter(c: Column) -> Column:
+    """A counter written as a whole number or as digits; 0 for anything else."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(r"^\d+\z"), text.try_cast("int")).otherwise(0)
+
+
+def dataset(companies: DataFrame, meta: DataFrame, entries: DataFrame, profiles: DataFrame, shared: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """A row per company: its meta columns, ``urls``, and ``profile``, its own or else the shared one.
+
+    companies: company_id. meta: company_id and more. entries: company_id by URL. profiles: company_id, profile; shared: the same, for companies without
+    one. ``most`` takes the companies with the least ids, which a report on a few asks for.
+    """
+    ids = companies.select("company_id").distinct()
+    ids = ids.orderBy("company_id").limit(most) if most is not None else ids
+    urls = entries.groupBy("company_id").agg(F.count("*").alias("urls"))
+    rows = ids.join(meta, "company_id", "left").join(urls, "company_id", "left").withColumn("urls", F.coalesce("urls", F.lit(0)))
+    rows = rows.join(profiles.select("company_id", "profile"), "company_id", "left")
+    if shared is None:
+        return rows
+    return rows.join(shared.select("company_id", F.col("profile").alias("_shared")), "company_id", "left").withColumn("profile", F.coalesce("profile", "_shared")).drop("_shared")

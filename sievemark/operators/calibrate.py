@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import truthy
+from . import state
 
 
 def json_health(text: Column) -> Column:
@@ -104,3 +105,68 @@ def legacy_columns(df: DataFrame, wanted: Mapping[str, tuple[str, ...]]) -> Data
 
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, r"[/\\]"), -1)
+
+
+def known_only(source: DataFrame, companies: DataFrame) -> DataFrame:
+    """Source rows of companies that the state has."""
+    return source.join(companies.select("company_id").distinct(), "company_id", "left_semi")
+
+
+def enriched(companies: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
+    """``companies`` with what the source says in ``columns``, where it says something."""
+    facts = known_only(source, companies).select("company_id", *(F.col(c).alias(f"_{c}") for c in columns))
+    rows = companies.join(facts, "company_id", "left")
+    return rows.withColumns({c: F.coalesce(f"_{c}", c) for c in columns}).drop(*(f"_{c}" for c in columns))
+
+
+def calibrated(companies: DataFrame, source: DataFrame, entries: DataFrame, meta: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Companies after enrichment from ``source`` and recomputation from the index, and the global state that follows.
+
+    entries: company_id, url, md_done, llm_done; meta: company_id, crawl_finished. A company without pages keeps its state.
+    """
+    rows = enriched(companies, source, columns)
+    fresh = state.company_stage(entries, meta)
+    moved = state.recompute(rows.select("company_id", "status", "urls_total", "urls_md", "urls_llm", "crawl_finished"), fresh)
+    out = rows.drop("status", "urls_total", "urls_md", "urls_llm", "crawl_finished").join(moved, "company_id")
+    return out, state.global_state(out)
+
+
+def meta_documents(companies: DataFrame, version: str) -> DataFrame:
+    """company_id, value: each company's columns as one JSON document, null ones too, with the version that wrote it."""
+    fields = [F.col(c) for c in companies.columns]
+    return companies.select("company_id", F.to_json(F.struct(*fields, F.lit(version).alias("version")), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def patched_meta(base: DataFrame, patches: DataFrame, now: str) -> DataFrame:
+    """company_id, fields (map): documents with a patch's fields over their own; ``created_at`` where there was none, and ``updated_at``.
+
+    base, patches: company_id, fields (map of texts; one row each).
+    """
+    rows = base.join(patches.select("company_id", F.col("fields").alias("_more")), "company_id", "full")
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    old, new = F.coalesce("fields", empty), F.coalesce("_more", empty)
+    merged = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
+    blank = lambda k: F.coalesce(F.trim(merged[k]), F.lit("")) == ""
+    stamps = F.map_filter(F.create_map(F.lit("company_id"), F.col("company_id").cast("string"), F.lit("created_at"), F.lit(now), F.lit("updated_at"), F.lit(now)), lambda k, v: (k == "updated_at") | ((k == "company_id") & blank("company_id")) | ((k == "created_at") & blank("created_at")))
+    return rows.select("company_id", F.map_concat(F.map_filter(merged, lambda k, v: ~F.map_contains_key(stamps, k)), stamps).alias("fields"))
+
+
+def upsert_runs(runs: DataFrame, started: DataFrame) -> DataFrame:
+    """Runs after starts (run_id, ord, pipeline, version, started_at): a known id gets the last start's columns and keeps its counts, a new one begins at 0."""
+    last = started.groupBy("run_id").agg(F.max_by(F.struct("pipeline", "version", "started_at"), "ord").alias("s"))
+    rows = runs.join(last, "run_id", "full")
+    pick = lambda c: F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(c)).alias(c)
+    return rows.select("run_id", pick("pipeline"), pick("version"), pick("started_at"), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total_companies", "completed_companies")), F.col("last_company_id"))
+
+
+def run_totals(runs: DataFrame, updates: DataFrame) -> DataFrame:
+    """Runs after updates (run_id, ord, total_companies, completed_companies, last_company_id): of each column the last value that is not null."""
+    names = ("total_companies", "completed_companies", "last_company_id")
+    last = updates.groupBy("run_id").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ord"))).alias(f"_{c}") for c in names))
+    return runs.join(last, "run_id", "left").withColumns({c: F.coalesce(f"_{c}", c) for c in names}).drop(*(f"_{c}" for c in names))
+
+
+def sample_company(companies: DataFrame, meta: DataFrame, index_meta: DataFrame, company_id: str | None = None) -> DataFrame:
+    """One company's state beside its documents: the one asked for, else that with the least id."""
+    one = companies.where(F.col("company_id") == company_id) if company_id else companies.orderBy("company_id").limit(1)
+    return one.join(meta, "company_id", "left").join(index_meta, "company_id", "left")

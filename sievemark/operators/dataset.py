@@ -183,3 +183,18 @@ def sample_ids(df: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:
     """``k`` distinct ids, the same for a seed whatever the order of rows."""
     ids = df.select(blank_to_null(F.col(id_col)).alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
     return ids.orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col).limit(k)
+
+
+def even_shares(df: DataFrame, order: str, n: int, name: str = "part") -> DataFrame:
+    """``df`` with ``name`` (from 1): ``n`` contiguous shares by ``order`` whose sizes differ by one row at most, larger ones first."""
+    if n < 1:
+        raise ValueError("n must be 1 or more")
+    base, more = divmod(df.count(), n)
+    at = F.col("_row") - 1
+    late = F.floor((at - more * (base + 1)) / max(base, 1)) + more
+    return numbered(df, order, "_row").withColumn(name, (F.when(at < more * (base + 1), F.floor(at / (base + 1))).otherwise(late) + 1).cast("long")).drop("_row")
+
+
+def schema_of(df: DataFrame) -> DataFrame:
+    """column, type of each column."""
+    return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")

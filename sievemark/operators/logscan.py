@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.urls import safe_id
+
 ID_LINE = r"(?:company_id|bvdid)[=:\s]+\"?([A-Za-z0-9_*.\-]+)"
 
 
@@ -48,3 +50,15 @@ def scan(lines: DataFrame, patterns: Sequence[str], tokens: Sequence[str] = (),
 
 def by_company(hits: DataFrame) -> DataFrame:
     return hits.groupBy("company_id").agg(F.count("*").alias("hits"), F.min("line_no").alias("first_line"))
+
+
+def original_ids(keys: DataFrame, source: DataFrame) -> DataFrame:
+    """company_id, name, url of keys (key) that are ids or ids made safe as file names; an unknown key stays as it is.
+
+    source: company_id, name, url. Of ids with one safe form the greatest counts.
+    """
+    known = source.groupBy("company_id").agg(F.max(F.struct("name", "url")).alias("own"))
+    safe = known.groupBy(safe_id(F.col("company_id")).alias("key")).agg(F.max("company_id").alias("other"))
+    rows = keys.select("key").distinct().join(known.select(F.col("company_id").alias("key"), F.lit(True).alias("is_id")), "key", "left").join(safe, "key", "left")
+    rows = rows.select(F.when(F.col("is_id"), F.col("key")).otherwise(F.coalesce("other", "key")).alias("company_id")).distinct()
+    return rows.join(known, "company_id", "left").select("company_id", F.coalesce("own.name", F.lit("")).alias("name"), F.coalesce("own.url", F.lit("")).alias("url"))

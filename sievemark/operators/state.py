@@ -135,3 +135,14 @@ def recrawl(companies: DataFrame, forced: bool, old_cap: int, new_cap: int) -> D
     """Companies to open again: all if forced, or those that stopped at a cap that is now higher; terminal ones stay."""
     open_ = F.col("status").isin("markdown_done", "llm_not_done", "llm_done") & (F.lit(forced) | (F.lit(new_cap > old_cap) & (F.col("urls_total") == old_cap)))
     return companies.withColumns({"reopened": open_, "status": F.when(open_, "markdown_not_done").otherwise(F.col("status"))})
+
+
+#: A crawl has ended in these, well or not.
+ENDED = ("markdown_done", "terminal_done", "llm_not_done", "llm_done")
+
+
+def stage_policies(companies: DataFrame, llm_requested: bool = True) -> DataFrame:
+    """``companies`` (status, urls_md) with may_extract, skip_extraction (nothing to read) and crawl_done."""
+    ended = F.col("status").isin(*ENDED)
+    empty = F.lit(llm_requested) & (F.coalesce("urls_md", F.lit(0)) <= 0)
+    return companies.withColumns({"may_extract": ended, "skip_extraction": empty, "crawl_done": ended})

@@ -28,7 +28,7 @@ VERBS: dict[str, Callable[[DataFrame, Mapping[str, Any], Mapping[str, DataFrame]
     "split": lambda df, s, t: d.split_parts(df, s["order"], s.get("parts"), s.get("chunk")),
     "select": _select,
     "stats": lambda df, s, t: d.group_counts(df, s["by"]) if s.get("by") else d.null_counts(df),
-    "schema": lambda df, s, t: df.sparkSession.createDataFrame(df.dtypes, "column string, type string"),
+    "schema": lambda df, s, t: d.schema_of(df),
     "limit": lambda df, s, t: df.orderBy(F.col(s["order"])).limit(s["n"]),
 }
 

@@ -150,20 +150,28 @@ def take_per_group(df: DataFrame, by: str, sizes: DataFrame, order: str, how: st
     """The first, last or a seeded random ``take`` rows of each group; nulls and blanks are one group."""
     named = df.withColumn("_g", group_name(F.col(by)))
     key = {"first": F.col(order).asc(), "last": F.col(order).desc(), "random": F.xxhash64(F.lit(seed), F.col("_g"), F.col(order)).asc()}[how]
+    most = sizes.agg(F.max("take")).first()[0] or 0  # a bound that Spark applies before it shuffles, to each task's own rows
     turn = F.row_number().over(Window.partitionBy("_g").orderBy(key))
-    rows = named.withColumn("_turn", turn).join(sizes.select(F.col("group").alias("_g"), "take"), "_g")
+    rows = named.withColumn("_turn", turn).where(F.col("_turn") <= int(most)).join(sizes.select(F.col("group").alias("_g"), "take"), "_g")
     return rows.where(F.col("_turn") <= F.col("take")).drop("_g", "_turn", "take")
 
 
-def numbered(df: DataFrame, order: str, name: str = "row") -> DataFrame:
-    """``df`` with its rank (from 1) by ``order``: rows are sorted within range partitions, and only partition sizes are summed.
+def numbered(df: DataFrame, order: str | Sequence[str], name: str = "row", by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with its rank (from 1) by ``order``, in each group of ``by``: rows are sorted within range partitions, and only partition sizes are summed.
 
-    Ties get different ranks. The ranged rows are persisted, so both reads see the same partitions.
+    So no group, however large, is put in order by one task. Ties get different ranks. The ranged rows are persisted, so both reads see the same partitions.
     """
-    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_in").alias("_first"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_in") - F.col("_first") + F.col("_before") + 1).drop("_part", "_in", "_first", "_before", "_n")
+    keys = [*by, *([order] if isinstance(order, str) else order)]
+    ranged = df.repartitionByRange(*map(F.col, keys)).sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    own = [F.col(k).alias(f"_by{i}") for i, k in enumerate(by)]
+    sizes = ranged.groupBy("_part", *own).agg(F.count("*").alias("_n"), F.min("_in").alias("_first")).withColumnRenamed("_part", "_of")
+    names = [f"_by{i}" for i in range(len(by))]
+    before = Window.partitionBy(*names).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    same = F.col("_part") == F.col("_of")
+    for k, n in zip(by, names, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return ranged.join(sizes if by else F.broadcast(sizes), same).withColumn(name, F.col("_in") - F.col("_first") + F.col("_before") + 1).drop("_part", "_in", "_of", "_first", "_before", "_n", *names)
 
 
 def split_parts(df: DataFrame, order: str, parts: int | None = None, chunk: int | None = None) -> DataFrame:

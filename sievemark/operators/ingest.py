@@ -86,3 +86,23 @@ def external_domains(df: DataFrame, url: str = "root_url") -> DataFrame:
     """Distinct registrable domains of a dataset's companies, bare and with ``www.``."""
     bare = df.select(registrable(host(F.col(url))).alias("domain")).where("domain <> ''").distinct()
     return bare.select(F.explode(F.array(F.col("domain"), F.concat(F.lit("www."), F.col("domain")))).alias("domain"))
+
+
+def load(df: DataFrame, order: str, pairs: DataFrame | None = None, naces: DataFrame | None = None, industries: DataFrame | None = None, merge: bool = True, turns: bool = True) -> DataFrame:
+    """Companies of a source table in one go: valid rows, first records, one row a URL, domains in turn, industry labels.
+
+    The dimensions are ``lookup`` results; without them no label is looked up. ``turn`` and ``domain`` order the rows.
+    """
+    rows = first_records(companies(df, order))
+    code = lambda k: lenient_int(F.coalesce(*(F.col("metadata")[x] for x in (k, k.upper(), k.title())))).alias(k)
+    rows = rows.select("*", code("industry"), code("nace"), F.lit(None).cast("string").alias("industry_label"))
+    rows = merge_by_url(rows) if merge else rows
+    rows = interleave(rows) if turns else rows
+    if pairs is None or naces is None or industries is None:
+        return rows
+    return enrich_industry(rows.drop("industry_label"), pairs, naces, industries)
+
+
+def from_files(rows: DataFrame) -> DataFrame:
+    """Rows of ``read_folder`` with ``ord``, by file and then by place in it, in place of ``source_path``."""
+    return rows.select(F.struct("source_path", F.monotonically_increasing_id().alias("at")).alias("ord"), *(f"`{c}`" for c in rows.columns if c != "source_path"))

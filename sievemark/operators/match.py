@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import alias_pattern, ascii_words, cookie_boilerplate, markdown_text, sentences
+from .dataset import numbered
 
 # Fixed values.
 PREPOSITIONS = ("to", "for", "of", "in", "on", "at", "by", "from", "with", "without", "into", "onto", "under", "over", "within", "between", "among", "around", "through", "during", "after", "before")
@@ -55,8 +56,8 @@ def aliases(taxonomy: DataFrame, text: str = "label") -> DataFrame:
 def number_sentences(pages: DataFrame, firm: str, page: str, text: str) -> DataFrame:
     """firm, sentence_id, page, sentence, is_cookie: sentences of each firm's pages, numbered from 1 by page, then position."""
     rows = pages.select(firm, page, F.posexplode(sentences(markdown_text(F.col(text)))).alias("_pos", "sentence"))
-    turn = F.row_number().over(Window.partitionBy(firm).orderBy(page, "_pos"))
-    return rows.select(firm, turn.alias("sentence_id"), page, "sentence", cookie_boilerplate(F.col("sentence")).alias("is_cookie"))
+    rows = numbered(rows, [page, "_pos"], "sentence_id", [firm])
+    return rows.select(firm, F.col("sentence_id").cast("int").alias("sentence_id"), page, "sentence", cookie_boilerplate(F.col("sentence")).alias("is_cookie"))
 
 
 def match(sents: DataFrame, tokens: DataFrame, keys: list[str], text: str = "sentence") -> DataFrame:
@@ -68,8 +69,9 @@ def match(sents: DataFrame, tokens: DataFrame, keys: list[str], text: str = "sen
     index = tokens.select("token_id", F.explode("aliases").alias("alias"))
     index = index.select("token_id", "alias", F.array_join(ascii_words(F.col("alias")), " ").alias("norm"), alias_pattern(F.col("alias")).alias("pattern")).where("norm <> ''")
     index = index.withColumn("word", F.split("norm", " ")[0])
-    found = sents.select(*keys, text, F.explode(F.array_distinct(ascii_words(F.col(text)))).alias("word")).join(index, "word")
-    found = found.withColumn("n", F.regexp_count(F.col(text), F.col("pattern"))).where("n > 0")
+    # only words that begin an alias leave their sentence; the sentence itself meets the aliases found in it once, by its keys
+    words = sents.select(*keys, F.explode(F.array_distinct(ascii_words(F.col(text)))).alias("word")).join(index, "word")
+    found = sents.select(*keys, text).join(words.drop("word"), keys).withColumn("n", F.regexp_count(F.col(text), F.col("pattern"))).where("n > 0")
     best = found.groupBy(*keys, "token_id").agg(F.min(F.struct((-F.length("norm")).alias("k"), "norm", "alias", "n")).alias("b"))
     return best.select(*keys, "token_id", F.col("b.alias").alias("matched_alias"), F.col("b.n").cast("long").alias("n"))
 
@@ -95,3 +97,21 @@ def sentence_stats(sents: DataFrame, firm: str) -> DataFrame:
     """By firm: sentences, mean and median words."""
     words = F.size(ascii_words(F.col("sentence")))
     return sents.withColumn("_w", words).groupBy(firm).agg(F.count("*").alias("n"), F.round(F.avg("_w"), 6).alias("mean_words"), F.round(F.percentile("_w", F.lit(0.5)), 6).alias("median_words"))
+
+
+# Columns of the published list of goods and services.
+TAXONOMY = {"Basic No. or Place / № de base ou endroit": "token_id", "Cl.": "cl", "X": "x", "Prop. No./№": "prop_no", "Action EN": "action_en", "EN - Goods and Services NCL (12-2024)": "label"}
+HEADING = "Class Heading and Explanatory Note"
+
+
+def taxonomy_rows(table: DataFrame, order: str) -> DataFrame:
+    """token_id, cl, x, prop_no, action_en, label of the list as published.
+
+    The first row by ``order`` explains the columns and goes, as do headings and rows without a number or a text. A missing column raises.
+    """
+    if missing := [c for c in TAXONOMY if c not in table.columns]:
+        raise ValueError(f"columns {missing} not in {table.columns}")
+    first = table.agg(F.min(order).alias("_first"))
+    rows = table.crossJoin(F.broadcast(first)).where(F.col(order) > F.col("_first"))  # one row, so no product
+    rows = rows.select(*(F.coalesce(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")).alias(n) for c, n in TAXONOMY.items()))
+    return rows.where((F.col("token_id") != "") & (F.col("token_id") != HEADING) & (F.col("label") != ""))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.text import clean_ws, descriptiveness, has_evidence, norm_name, norm_type
-from ..functions.vectors import cosine
+from ..functions.binding import let
+from ..functions.vectors import dot, norm
 
 
 def clean_mentions(mentions: DataFrame, pages: DataFrame) -> DataFrame:
@@ -49,10 +50,19 @@ def hashed_embedding(texts: list[str], size: int = 64) -> list[list[float]]:
     return out
 
 
-def similar_pairs(rows: DataFrame, block: list[str], key: str, vector: str, least: float = 0.94) -> DataFrame:
-    """block, a, b, similarity of the pairs of rows in a block with a cosine of at least ``least``, by an equi-join on the block."""
-    x, y = rows.select(*block, F.col(key).alias("a"), F.col(vector).alias("va")), rows.select(*block, F.col(key).alias("b"), F.col(vector).alias("vb"))
-    return x.join(y, block).where(F.col("a") < F.col("b")).withColumn("similarity", cosine(F.col("va"), F.col("vb"))).where(F.col("similarity") >= least).select(*block, "a", "b", "similarity")
+def similar_pairs(rows: DataFrame, block: list[str], key: str, vector: str, least: float = 0.94, tile: int = 4000) -> DataFrame:
+    """block, a, b, similarity of the pairs of rows in a block with a cosine of at least ``least``, by an equi-join on the block.
+
+    Vectors are made of unit length once. A block of more than ``tile`` rows is cut: one side is dealt out over its parts and the other
+    goes to each of them, so that no task has all pairs of a large block.
+    """
+    parts = rows.groupBy(*block).agg(F.ceil(F.count("*") / tile).cast("int").alias("_parts")).where("_parts > 1")
+    unit = let(norm(F.col(vector)), lambda n: F.when(n > 0, F.transform(vector, lambda x: x.cast("double") / n)).otherwise(F.array().cast("array<double>")))
+    rows = rows.select(*block, F.col(key).alias("_key"), unit.alias("_unit")).where(F.size("_unit") > 0).join(parts, block, "left")
+    x = rows.select(*block, F.pmod(F.xxhash64("_key"), F.coalesce("_parts", F.lit(1))).cast("int").alias("_part"), F.col("_key").alias("a"), F.col("_unit").alias("va"))
+    y = rows.select(*block, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.col("_key").alias("b"), F.col("_unit").alias("vb"))
+    pairs = x.join(y, [*block, "_part"]).where((F.col("a") < F.col("b")) & (F.size("va") == F.size("vb")))
+    return pairs.withColumn("similarity", dot(F.col("va"), F.col("vb"))).where(F.col("similarity") >= least).select(*block, "a", "b", "similarity")
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None, most: int = 60) -> DataFrame:

@@ -96,8 +96,15 @@ def decayed_ratio(events: DataFrame, by: str, half_life: float) -> DataFrame:
 
 
 def trailing_count(events: DataFrame, by: str, seconds: int) -> DataFrame:
-    """``events`` (by, ts in seconds) with ``recent``: how many of the group in the ``seconds`` up to each."""
-    return events.withColumn("recent", F.count("*").over(Window.partitionBy(by).orderBy("ts").rangeBetween(-seconds, 0)))
+    """``events`` (by, ts in seconds) with ``recent``: how many of the group in the ``seconds`` up to each.
+
+    Time is cut into slots of ``seconds``; events also go to the slot after their own, so each slot has all that its events look
+    back on, and a group is spread over as many tasks as it has slots.
+    """
+    slot = F.floor(F.col("ts") / max(seconds, 1))
+    rows = events.withColumn("_at", F.explode(F.array(F.struct(slot.alias("slot"), F.lit(True).alias("own")), F.struct((slot + 1).alias("slot"), F.lit(False).alias("own"))))).withColumn("_slot", F.col("_at.slot"))
+    rows = rows.withColumn("recent", F.count("*").over(Window.partitionBy(by, "_slot").orderBy("ts").rangeBetween(-seconds, 0)))
+    return rows.where("_at.own").drop("_at", "_slot")
 
 
 def ramp(samples: DataFrame, by: str, seconds: float = 3.0, order: str | None = None) -> DataFrame:

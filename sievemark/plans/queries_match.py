@@ -37,17 +37,34 @@ def nice_match(t):
     return match.match(t("conversations").select("conv_id", "turn", F.col("text").alias("sentence")), _tokens(t), ["conv_id", "turn"])
 
 
-@C.query("number_sentences")
+def _plain(c: str) -> str:
+    """The SQL of ``markdown_text``."""
+    for pattern, to in ((r"(?s)```.*?```", " "), (r"!\[[^\]]*\]\([^)]*\)", " "), (r"\[([^\]]*)\]\([^)]*\)", r"\1"), (r"`([^`]*)`", r"\1"), (r"(?m)^\s{0,3}#{1,6}\s*", ""), (r"(?m)^\s*[-*+]\s+", ""), (r"<[^>]+>", " "), (r"[ \t]+", " ")):
+        c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
+    return f"trim({c})"
+
+
+_MARKERS = ", ".join(f"'{m}'" for m in text.COOKIE_MARKERS)
+_SENTENCES = rf"""WITH b AS (SELECT source, doc_id, regexp_split_to_array(regexp_replace({_plain("text")}, '\r\n?', chr(10), 'g'), '\n\s*\n') AS blocks FROM documents WHERE text IS NOT NULL),
+c AS (SELECT source, doc_id, generate_subscripts(blocks, 1) AS k, unnest(blocks) AS block FROM b),
+p AS (SELECT source, doc_id, k, string_split(regexp_replace(trim(regexp_replace(block, '\s+', ' ', 'g')), '([.!?])\s+([A-Z0-9"''])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts FROM c),
+s AS (SELECT source, doc_id, k, generate_subscripts(parts, 1) AS i, trim(unnest(parts)) AS sentence FROM p),
+n AS (SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id, k, i) AS INT) AS sentence_id, doc_id, sentence, regexp_extract_all(lower(sentence), '[a-z0-9]+') AS w FROM s WHERE sentence <> '')"""
+
+
+@C.query("number_sentences", f"{_SENTENCES} SELECT source, sentence_id, doc_id, sentence, list_has_any(w, ['cookie', 'cookies']) AND list_has_any(w, [{_MARKERS}]) AS is_cookie FROM n")
 def number_sentences(t):
     return match.number_sentences(t("documents"), "source", "doc_id", "text")
 
 
-@C.query("sentence_stats")
+@C.query("sentence_stats", f"{_SENTENCES} SELECT source, count(*) AS n, round(avg(len(w)), 6) AS mean_words, round(quantile_cont(len(w), 0.5), 6) AS median_words FROM n GROUP BY 1")
 def sentence_stats(t):
     return match.sentence_stats(match.number_sentences(t("documents"), "source", "doc_id", "text"), "source")
 
 
-@C.query("match_spans")
+@C.query("match_spans", r"""WITH p AS (SELECT conv_id, turn, regexp_split_to_array(text, '(?i)\bthe\b') AS parts FROM conversations),
+k AS (SELECT conv_id, turn, list_transform(range(1, len(parts)), lambda k: CAST(list_sum(list_transform(parts[1:k], lambda x: length(x))) + 3 * (k - 1) AS BIGINT)) AS places FROM p)
+SELECT conv_id, turn, array_to_string(list_transform(places, lambda a: a || ':' || (a + 3)), '|') AS spans FROM k""")
 def match_spans(t):
     rows = t("conversations").withColumn("spans", match.span_text(match.spans(F.col("text"), F.lit(r"(?i)\bthe\b"))))
     return rows.select("conv_id", "turn", "spans")

@@ -92,12 +92,23 @@ def log_lines(events):
     return events.select(F.concat(F.lit("log"), "user_id").alias("log_path"), n.alias("line_no"), line.alias("line"))
 
 
-@C.query("log_scan")
+_LINES = """l AS (SELECT 'log' || user_id AS log_path, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, CASE event_type WHEN 'signup' THEN 'INFO company_id=c' || event_id WHEN 'error' THEN 'ERROR fetch failed' ELSE 'DEBUG ' || event_type END AS line,
+  CASE WHEN event_type = 'signup' THEN 'c' || event_id END AS id, event_type = 'error' AS hit FROM events)"""
+
+
+def _hits(after: int) -> str:
+    """Hits with the id in force: lines after a hit are passed over, so the walk goes from hit to hit."""
+    return f"""WITH RECURSIVE {_LINES}, w AS (SELECT log_path, min(n) AS n FROM l WHERE hit GROUP BY 1 UNION ALL SELECT log_path, m FROM (SELECT w.log_path, w.n, min(l.n) AS m FROM w JOIN l ON l.log_path = w.log_path AND l.hit AND l.n > w.n + {after} GROUP BY 1, 2)),
+k AS (SELECT l.*, w.n IS NOT NULL AS taken FROM l LEFT JOIN w ON w.log_path = l.log_path AND w.n = l.n), z AS (SELECT *, max(CASE WHEN taken THEN n END) OVER (PARTITION BY log_path ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS near FROM k),
+c AS (SELECT *, coalesce(last_value(CASE WHEN taken OR coalesce(n > near + {after}, TRUE) THEN id END IGNORE NULLS) OVER (PARTITION BY log_path ORDER BY n), 'UNKNOWN') AS company_id, lag(line) OVER o AS p1, lead(line) OVER o AS n1, lead(line, 2) OVER o AS n2 FROM z WINDOW o AS (PARTITION BY log_path ORDER BY n))"""
+
+
+@C.query("log_scan", f"{_hits(2)} SELECT log_path, CAST(n AS INT) AS line_no, company_id, 'ERROR' AS level, coalesce(p1, '') AS before, concat_ws('|', n1, n2) AS after FROM c WHERE taken")
 def log_scan(t):
     hits = logscan.scan(log_lines(t("events")), ["failed", "refused"], ["fetch"], 1, 2)
     return hits.select("log_path", "line_no", "company_id", "level", F.concat_ws("|", "context_before").alias("before"), F.concat_ws("|", "context_after").alias("after"))
 
 
-@C.query("log_hits_by_company")
+@C.query("log_hits_by_company", f"{_hits(0)} SELECT company_id, count(*) AS hits, CAST(min(n) AS INT) AS first_line FROM c WHERE taken GROUP BY 1")
 def log_hits_by_company(t):
     return logscan.by_company(logscan.scan(log_lines(t("events")), ["failed"], before=0, after=0))

@@ -114,27 +114,30 @@ def page_summary(t):
 
 
 def _sides(t):
-    rows = _done(t).select("company_id", "url", "md_done", "llm_done", F.coalesce("path", F.lit("")).alias("path"))
-    k = F.crc32(F.concat("company_id", F.lit("/"), "url").cast("binary")) % 4
-    left = rows.where(k != 0)
-    right = rows.where(k != 1).withColumn("llm_done", F.when(k == 2, True).otherwise(F.col("llm_done"))).withColumn("md_done", F.col("md_done") | (k == 2)).withColumn("path", F.concat(F.lit("s"), "path"))
-    return left, right
+    rows = _done(t).select("company_id", "url", "status", "md_done", "llm_done", F.coalesce("path", F.lit("")).alias("path"))
+    left = rows.where(F.coalesce("status", F.lit("")) != "timeout")
+    more = F.col("path").endswith("7")
+    right = rows.where((F.col("path") != "") | F.col("llm_done")).withColumn("llm_done", F.col("llm_done") | more).withColumn("md_done", F.col("md_done") | more).withColumn("path", F.concat(F.lit("s"), "path"))
+    return left.drop("status"), right.drop("status")
 
 
-@C.query("merge_url_index")
+@C.query("merge_url_index", f"""{_DONE}, r AS (SELECT company_id, url, status, md_done, llm_done, coalesce(path, '') AS path FROM d), a AS (SELECT * FROM r WHERE coalesce(status, '') <> 'timeout'),
+b AS (SELECT company_id, url, md_done OR ends_with(path, '7') AS md_done, llm_done OR ends_with(path, '7') AS llm_done, 's' || path AS path FROM r WHERE path <> '' OR llm_done),
+j AS (SELECT coalesce(a.company_id, b.company_id) AS company_id, coalesce(a.url, b.url) AS url, a.md_done AS am, a.llm_done AS al, a.path AS ap, b.md_done AS bm, b.llm_done AS bl, b.path AS bp, a.url IS NULL AS no_a, 2 * CAST(a.llm_done AS INT) + CAST(a.md_done AS INT) AS sa, 2 * CAST(b.llm_done AS INT) + CAST(b.md_done AS INT) AS sb FROM a FULL JOIN b ON a.company_id = b.company_id AND a.url = b.url)
+SELECT company_id, url, CASE WHEN no_a OR sb > sa THEN bm ELSE am END AS md_done, CASE WHEN no_a OR sb > sa THEN bl ELSE al END AS llm_done, CASE WHEN no_a OR sb > sa OR (sa = sb AND ap = '') THEN bp ELSE ap END AS path FROM j""")
 def merge_url_index(t):
     left, right = _sides(t)
     return merge.merge_index(left, right, ["path"])
 
 
-_ROWS = """a AS (SELECT c_custkey AS company_id, CASE WHEN c_custkey % 3 = 0 THEN 'llm_done' WHEN c_custkey % 3 = 1 THEN 'terminal_done' ELSE 'pending' END AS status, CAST(c_custkey % 10 AS VARCHAR) AS updated_at, 'a' AS src FROM customer WHERE c_custkey % 5 <> 0),
-b AS (SELECT c_custkey AS company_id, CASE WHEN c_custkey % 2 = 0 THEN 'llm_done' ELSE 'pending' END AS status, CAST(c_custkey % 7 AS VARCHAR) AS updated_at, 'b' AS src FROM customer WHERE c_custkey % 5 <> 1)"""
+_ROWS = """a AS (SELECT c_custkey AS company_id, CASE WHEN c_custkey % 3 = 0 THEN 'llm_done' WHEN c_custkey % 3 = 1 THEN 'terminal_done' ELSE 'pending' END AS status, CAST(c_custkey % 10 AS VARCHAR) AS updated_at, 'a' AS src FROM customer WHERE c_acctbal > 0),
+b AS (SELECT c_custkey AS company_id, CASE WHEN c_custkey % 2 = 0 THEN 'llm_done' ELSE 'pending' END AS status, CAST(c_custkey % 7 AS VARCHAR) AS updated_at, 'b' AS src FROM customer WHERE c_mktsegment <> 'BUILDING')"""
 
 
 def _rows(t):
     c, k = t("customer"), F.col("c_custkey")
-    a = c.where(k % 5 != 0).select(k.alias("company_id"), F.when(k % 3 == 0, "llm_done").when(k % 3 == 1, "terminal_done").otherwise("pending").alias("status"), (k % 10).cast("string").alias("updated_at"), F.lit("a").alias("src"))
-    b = c.where(k % 5 != 1).select(k.alias("company_id"), F.when(k % 2 == 0, "llm_done").otherwise("pending").alias("status"), (k % 7).cast("string").alias("updated_at"), F.lit("b").alias("src"))
+    a = c.where("c_acctbal > 0").select(k.alias("company_id"), F.when(k % 3 == 0, "llm_done").when(k % 3 == 1, "terminal_done").otherwise("pending").alias("status"), (k % 10).cast("string").alias("updated_at"), F.lit("a").alias("src"))
+    b = c.where("c_mktsegment <> 'BUILDING'").select(k.alias("company_id"), F.when(k % 2 == 0, "llm_done").otherwise("pending").alias("status"), (k % 7).cast("string").alias("updated_at"), F.lit("b").alias("src"))
     return a, b
 
 
@@ -173,7 +176,7 @@ _ST = "CASE c_custkey % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'terminal_done' ELSE
 
 
 def _reasons(t):
-    return t("customer").select(F.col("c_custkey").alias("company_id"), F.expr(_ST).alias("status"), F.expr(_REASON).alias("done_reason"), F.lit(5).cast("long").alias("urls_total"))
+    return t("customer").select(F.col("c_custkey").alias("company_id"), F.expr(_ST).alias("status"), F.expr(_REASON).alias("done_reason"), F.lit(5).cast("long").alias("urls_total"), "c_acctbal", "c_mktsegment")
 
 
 @C.query("reconcile", f"""WITH c AS (SELECT c_custkey AS company_id, {_ST} AS status, coalesce(trim({_REASON}), '') <> '' AS has FROM customer)
@@ -182,19 +185,19 @@ def reconcile(t):
     return calibrate.reconcile(_reasons(t)).select("company_id", "status", "problem")
 
 
-@C.query("reset_candidates", f"""WITH c AS (SELECT c_custkey AS company_id, {_ST} AS status, {_REASON} AS done_reason FROM customer)
-SELECT company_id, concat_ws(',', CASE WHEN status = 'pending' THEN 'pending' END, CASE WHEN done_reason = 'nxdomain' THEN 'nxdomain' END, CASE WHEN company_id <= 10 THEN 'included' END) AS reasons FROM c
-WHERE (status = 'pending' OR coalesce(done_reason = 'nxdomain', FALSE) OR company_id <= 10) AND company_id % 50 <> 0""")
+@C.query("reset_candidates", f"""WITH c AS (SELECT c_custkey AS company_id, {_ST} AS status, {_REASON} AS done_reason, c_acctbal, c_mktsegment FROM customer)
+SELECT company_id, concat_ws(',', CASE WHEN status = 'pending' THEN 'pending' END, CASE WHEN done_reason = 'nxdomain' THEN 'nxdomain' END, CASE WHEN c_mktsegment = 'BUILDING' THEN 'included' END) AS reasons FROM c
+WHERE (status = 'pending' OR coalesce(done_reason = 'nxdomain', FALSE) OR c_mktsegment = 'BUILDING') AND c_acctbal >= 0""")
 def reset_candidates(t):
     rows = _reasons(t)
-    found = calibrate.reset_candidates(rows, {"pending": F.col("status") == "pending", "nxdomain": F.col("done_reason") == "nxdomain"}, rows.where("company_id <= 10"), rows.where("company_id % 50 = 0"))
+    found = calibrate.reset_candidates(rows, {"pending": F.col("status") == "pending", "nxdomain": F.col("done_reason") == "nxdomain"}, rows.where("c_mktsegment = 'BUILDING'"), rows.where("c_acctbal < 0"))
     return found.select("company_id", F.array_join("reasons", ",").alias("reasons"))
 
 
-@C.query("reset_rows", f"SELECT c_custkey AS company_id, CASE WHEN c_custkey <= 100 THEN 'pending' ELSE {_ST} END AS status, CAST(CASE WHEN c_custkey <= 100 THEN 0 ELSE 5 END AS BIGINT) AS urls_total, CASE WHEN c_custkey > 100 THEN {_REASON} END AS done_reason FROM customer")
+@C.query("reset_rows", f"SELECT c_custkey AS company_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'pending' ELSE {_ST} END AS status, CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE 5 END AS BIGINT) AS urls_total, CASE WHEN c_mktsegment <> 'BUILDING' THEN {_REASON} END AS done_reason FROM customer")
 def reset_rows(t):
     rows = _reasons(t)
-    return calibrate.reset_rows(rows, rows.where("company_id <= 100")).select("company_id", "status", F.col("urls_total").cast("long").alias("urls_total"), "done_reason")
+    return calibrate.reset_rows(rows, rows.where("c_mktsegment = 'BUILDING'")).select("company_id", "status", F.col("urls_total").cast("long").alias("urls_total"), "done_reason")
 
 
 @C.query("index_meta", f"""{_DONE} SELECT company_id, count(*) AS total_pages, count(*) FILTER (md_done AND coalesce(status, '') <> 'timeout') AS markdown_saved, count(*) FILTER (coalesce(status, '') = 'timeout') AS markdown_suppressed, count(*) FILTER (coalesce(status, '') = 'timeout') AS timeout_pages, CAST(0 AS BIGINT) AS memory_pressure_pages FROM d GROUP BY 1""")

@@ -7,45 +7,68 @@ row of Spark's binary scan and is parsed inside its task, so many files are read
 from __future__ import annotations
 
 import io
+import os
+import sqlite3
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import closing
+from functools import reduce
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-Reader = Callable[[SparkSession, str], DataFrame]
+Paths = str | list[str]
+Reader = Callable[[SparkSession, Paths], DataFrame]
 ENTRY = "struct<status:string,markdown_path:string,markdown_done:boolean,llm_done:boolean,product_path:string,gating_action:string,gating_reason:string,error:string,status_code:int,depth:int>"
 META = "struct<crawl_finished:boolean,total_pages:int,markdown_saved:int,markdown_suppressed:int,timeout_pages:int,memory_pressure_pages:int>"
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def _source() -> Column:
+    """The file that a row was read from."""
+    return F.col("_metadata.file_path").alias("source_path")
+
+
+def _text_columns(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and, of the map of texts ``m``, a column for each key, in order; a row without a key has null there."""
+    names = sorted(r.k for r in rows.select(F.explode(F.map_keys("m")).alias("k")).distinct().collect())
+    return rows.select(*keep, *(F.col("m")[n].alias(n) for n in names))
+
+
+def read_csv(spark: SparkSession, path: Paths, sep: str = ",") -> DataFrame:
     """Delimited text with a header; all values are text."""
     return spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=True, escape='"')
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_tsv(spark: SparkSession, path: Paths) -> DataFrame:
     return read_csv(spark, path, "\t")
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One object a line; lines that do not parse are left out."""
-    rows = spark.read.json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record").cache()  # a query of the corrupt column alone needs this
-    return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record") if "_corrupt_record" in rows.columns else rows
+def _json_lines(spark: SparkSession, path: Paths) -> DataFrame:
+    return spark.read.text(path).select(_source(), F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("m"), F.try_parse_json("value").alias("v")).where(F.col("v").isNotNull() & F.col("m").isNotNull()).drop("v")
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A list of objects, an object with the list under data, records, items or rows, or a single object."""
-    text = spark.read.text(path, wholetext=True)
-    body = F.coalesce(*(F.get_json_object("value", f"$.{k}") for k in ("data", "records", "items", "rows")), F.trim("value"))
+def _json(spark: SparkSession, path: Paths) -> DataFrame:
+    text = spark.read.text(path, wholetext=True).select(_source(), F.trim("value").alias("value"))
+    body = F.coalesce(*(F.get_json_object("value", f"$.{k}") for k in ("data", "records", "items", "rows")), F.col("value"))
     items = F.when(F.trim(body).startswith("["), F.from_json(body, "array<variant>")).otherwise(F.array(F.try_parse_json(body)))
-    objects = text.select(F.explode(items).alias("v")).select(F.to_json("v").alias("j")).where(F.col("j").startswith("{"))
-    return spark.read.json(objects.rdd.map(lambda r: r.j)) if not objects.isEmpty() else spark.createDataFrame([], "value string")
+    objects = text.select("source_path", F.explode(items).alias("v")).select("source_path", F.to_json("v").alias("j")).where(F.col("j").startswith("{"))
+    return objects.select("source_path", F.from_json("j", "map<string,string>").alias("m"))
+
+
+def read_json_lines(spark: SparkSession, path: Paths) -> DataFrame:
+    """One object a line, as text columns; nested values are JSON. Lines that do not parse are left out."""
+    return _text_columns(_json_lines(spark, path), [])
+
+
+def read_json(spark: SparkSession, path: Paths) -> DataFrame:
+    """A list of objects, an object with the list under data, records, items or rows, or a single object, as text columns; nested values are JSON."""
+    return _text_columns(_json(spark, path), [])
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: Paths) -> DataFrame:
+    return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
 def _ods(raw: bytes) -> pd.DataFrame:
@@ -70,30 +93,70 @@ def _ods(raw: bytes) -> pd.DataFrame:
     return pd.DataFrame([(r + [""] * len(head))[: len(head)] for r in grid[1:]], columns=head)
 
 
+def _spss(raw: bytes) -> pd.DataFrame:
+    """SPSS needs ``pyreadstat``, which reads from a name; the file is in memory under one."""
+    import pyreadstat
+
+    with open(f"/dev/fd/{os.memfd_create('sav')}", "r+b") as f:
+        f.write(raw)
+        f.flush()
+        return pyreadstat.read_sav(f.name)[0]
+
+
 PARSERS: dict[str, Callable[[bytes], pd.DataFrame]] = {
     "dta": lambda raw: pd.read_stata(io.BytesIO(raw), convert_categoricals=False),
     "sas7bdat": lambda raw: pd.read_sas(io.BytesIO(raw), format="sas7bdat", encoding="utf-8"),
     "xlsx": lambda raw: pd.read_excel(io.BytesIO(raw), dtype=str),
     "xls": lambda raw: pd.read_excel(io.BytesIO(raw), dtype=str),
     "feather": lambda raw: pd.read_feather(io.BytesIO(raw)),
+    "sav": lambda raw: _spss(raw),
     "ods": _ods,
 }
 
 
-def _whole(kind: str) -> Reader:
-    def read(spark: SparkSession, path: str) -> DataFrame:
-        """Rows of whole files as text columns; the first file names the columns."""
-        parse = PARSERS[kind]
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
-        names = [str(c) for c in parse(bytes(files.orderBy("path").first().content)).columns]
+def _sqlite(table: str, statuses: Sequence[str] = (), without: bool = False) -> Callable[[bytes], pd.DataFrame]:
+    """A parser of one table of a SQLite file, whose rows SQLite itself picks by status."""
+    if not table.isidentifier():
+        raise ValueError(f"table {table!r}")
+    marks = ", ".join("?" * len(statuses))
+    where = f" WHERE status {'NOT IN' if without else 'IN'} ({marks})" if statuses else ""
+
+    def parse(raw: bytes) -> pd.DataFrame:
+        with closing(sqlite3.connect(":memory:")) as con:
+            con.deserialize(raw)
+            found = con.execute(f"SELECT * FROM {table}{where}", list(statuses))
+            return pd.DataFrame(found.fetchall(), columns=[c[0] for c in found.description], dtype=object)
+
+    return parse
+
+
+def _cells(rows: pd.DataFrame) -> list[dict[str, str]]:
+    rows = rows.rename(columns=str).astype(object)
+    return [{k: str(v) for k, v in r.items() if not pd.isna(v)} for r in rows.to_dict("records")]
 
-        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for raw in pdf["content"]:
-                    rows = parse(bytes(raw)).reindex(columns=names)
-                    yield rows.astype(object).where(rows.notna(), None).map(lambda v: None if v is None else str(v))
 
-        return files.mapInPandas(part, ", ".join(f"`{n}` string" for n in names))
+def _parsed(spark: SparkSession, path: Paths, parse: Callable[[bytes], pd.DataFrame]) -> DataFrame:
+    """source_path and a map of texts for each row of whole files; each file is parsed in the task that reads it."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source_path"), "content")
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for source, raw in zip(pdf["source_path"], pdf["content"], strict=True):
+                cells = _cells(parse(bytes(raw)))
+                yield pd.DataFrame({"source_path": [source] * len(cells), "m": cells})
+
+    return files.mapInPandas(part, "source_path string, m map<string,string>")
+
+
+def read_sqlite(spark: SparkSession, path: Paths, table: str, statuses: Sequence[str] = (), without: bool = False) -> DataFrame:
+    """A table of SQLite files as text columns, with the rows of some statuses, or of all others."""
+    return _text_columns(_parsed(spark, path, _sqlite(table, statuses, without)), [])
+
+
+def _whole(kind: str) -> Reader:
+    def read(spark: SparkSession, path: Paths) -> DataFrame:
+        """Rows of whole files as text columns."""
+        return _text_columns(_parsed(spark, path, PARSERS[kind]), [])
 
     return read
 
@@ -114,19 +177,45 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return REGISTRY[ending](spark, path)
 
 
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files of each first line; only the first block of each file is read."""
+    first = spark.read.text(paths).select(_source(), F.col("_metadata.file_block_start").alias("at"), "value").where("at = 0").groupBy("source_path").agg(F.first("value").alias("head"))
+    return {r["head"]: sorted(r.paths) for r in first.groupBy("head").agg(F.collect_list("source_path").alias("paths")).collect()}
+
+
+def _with_path(spark: SparkSession, ending: str, paths: list[str]) -> DataFrame:
+    """All files of one ending, read together: text columns, and the file in ``source_path``."""
+    if ending in ("csv", "txt", "tsv"):
+        parts = [REGISTRY[ending](spark, own).select("*", _source()) for own in _headers(spark, paths).values()]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if ending in ("json", "jsonl", "ndjson"):
+        return _text_columns((_json if ending == "json" else _json_lines)(spark, paths), ["source_path"])
+    if ending in PARSERS:
+        return _text_columns(_parsed(spark, paths, PARSERS[ending]), ["source_path"])
+    if ending == "parquet":
+        return spark.read.option("mergeSchema", "true").parquet(*paths).select("*", _source())
+    return REGISTRY[ending](spark, paths).select("*", _source())
+
+
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """All tables below a folder whose endings are known, one after the other by column name, with the path in ``source_path``."""
-    endings = [r.e for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("e")).distinct().collect()]
-    out = None
-    for ending in sorted(e for e in endings if e in REGISTRY):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ending}").load(folder)
-        for path in sorted(r.path for r in files.select("path").collect()):
-            rows = read_table(spark, path)
-            rows = rows.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns)).withColumn("source_path", F.lit(path))
-            out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    if out is None:
+    """All tables below a folder whose endings are known, by column name, as text, with the file in ``source_path``.
+
+    The files of an ending are one scan (delimited ones: one for each header), however many they are; only names come to the driver.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("e"))
+    found = {r.e: sorted(r.paths) for r in names.where(F.col("e").isin(*REGISTRY)).groupBy("e").agg(F.collect_list("path").alias("paths")).collect()}
+    if not found:
         raise ValueError(f"no table below {folder!r}")
-    return out
+    parts = [_with_path(spark, e, found[e]) for e in sorted(found)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in p.columns)) for p in parts])
+
+
+def read_ids(spark: SparkSession, path: Paths, column: str) -> DataFrame:
+    """The ids of a delimited file's column, trimmed, without blanks."""
+    rows = read_csv(spark, path)
+    if column not in rows.columns:
+        raise ValueError(f"column {column!r} not in {rows.columns}")
+    return rows.select(F.trim(column).alias(column)).where(F.col(column) != "")
 
 
 def read_strict(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -168,9 +257,14 @@ def read_documents(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def read_log_lines(spark: SparkSession, glob: str) -> DataFrame:
-    """log_path, line_no, line of log files, gzip ones too. A file is a row until its lines are numbered."""
-    rows = spark.read.text(glob, wholetext=True).select(F.input_file_name().alias("log_path"), "value")
-    return rows.select("log_path", F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\r?\n")).alias("at", "line")).select("log_path", (F.col("at") + 1).alias("line_no"), "line")
+    """log_path, line_no, line of log files, gzip ones too. A large plain file is read in blocks, and lines are numbered over them."""
+    place = [F.col("_metadata.file_path").alias("log_path"), F.col("_metadata.file_block_start").alias("block")]
+    rows = spark.read.text(glob, lineSep="\n").select(*place, F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", r"\r\z", "").alias("line"))
+    # a block is read by one task in order, so its first id tells a line's place in it; only block sizes are summed
+    blocks = rows.groupBy("log_path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("log_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("log_path", "block", "first", before.alias("before"))
+    return rows.join(blocks, ["log_path", "block"]).select("log_path", (F.col("at") - F.col("first") + F.col("before") + 1).alias("line_no"), "line")
 
 
 def markdown_pages(entries: DataFrame, files: DataFrame, strict: bool = False) -> DataFrame:

@@ -42,3 +42,8 @@ def index_documents(entries: DataFrame) -> DataFrame:
 def append_events(df: DataFrame, path: str) -> None:
     """Ledger events as JSON lines, added to what is there."""
     df.write.mode("append").json(path)
+
+
+def write_ordered(df: DataFrame, path: str, order: str, mode: str = "errorifexists") -> None:
+    """Delimited text in the order of a column: part files follow one another, each has the header."""
+    df.repartitionByRange(F.col(order)).sortWithinPartitions(order).write.mode(mode).csv(path, header=True, escape='"')

@@ -348,9 +348,24 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     return _labelled(signed, label, held)
 
 
+def _meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` left-joined with ``facts`` (one row a key) by ``key``.
+
+    Keys that hold more than a thousandth of the rows, of which there are fewer than a thousand, are broadcast, so that no task gets all
+    rows of one; the others are joined as Spark sees fit.
+    """
+    large = rows.groupBy(key).agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * 1000 > rows.count())).select(key)
+    known = F.struct(*(c for c in facts.columns if c != key)).alias("fact")
+    held = F.broadcast(table(facts.join(F.broadcast(large), key).select(key, known), "near-large"))
+    marked = rows.join(held, key, "left")
+    rest = marked.where(F.col("fact").isNull()).drop("fact").join(facts, key, "left")
+    return marked.where(F.col("fact").isNotNull()).select(*rows.columns, "fact.*").unionByName(rest)
+
+
 def _labelled(signed: DataFrame, label: DataFrame, held: list[DataFrame]) -> DataFrame:
     """The rows with their labels, written; what was written on the way goes."""
-    out = table(signed.select("k1", "k2", "doc_id", "node").join(label, "node", "left").select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
+    out = _meet(signed.select("k1", "k2", "doc_id", "node").where(F.col("node").isNotNull()), label, "node").unionByName(signed.where(F.col("node").isNull()).select("k1", "k2", "doc_id", "node", F.lit(None).cast("long").alias("label")))
+    out = table(out.select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
     release(*held)
     return out
 
@@ -366,8 +381,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     A link of 0.8 is missed by all bands with a chance of ``(1 - 0.8 ** ROWS) ** BANDS``, 7 in a million, and less above.
     """
     member = _members(docs, width)
-    first = member.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    out = member.where(F.col("label").isNotNull()).join(first, "label").select("doc_id", "node", "class_id")
+    classed = member.where(F.col("label").isNotNull())
+    first = table(classed.groupBy("label").agg(F.min("doc_id").alias("class_id")), "near-classes")
+    out = _meet(classed.select("label", "doc_id", "node"), first, "label").select("doc_id", "node", "class_id")
     return out.union(member.where(F.col("label").isNull()).select("doc_id", "node", F.col("doc_id").alias("class_id")))
 
 
@@ -385,8 +401,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     member = _members(docs, width)
     classed = member.where(F.col("label").isNotNull())
-    least = classed.groupBy("label").agg(F.min("doc_id").alias("least"))
-    first = classed.join(least, "label").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("label", "k1", "k2")
+    least = table(classed.groupBy("label").agg(F.min("doc_id").alias("least")), "near-classes")
+    first = _meet(classed, least, "label").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("label", "k1", "k2")
     one = first.join(first.groupBy("label").agg(F.min("k1").alias("k1")), ["label", "k1"]).groupBy("k1", "k2").agg(F.count("*").alias("c"))
     stay = table(one.union(member.where(F.col("label").isNull()).select("k1", "k2", F.lit(1).cast("long")).distinct()), "near-stay")
     keyed = docs.select(*row_key(column("doc_id").cast("long"), column("text")), packed(docs))

@@ -55,7 +55,8 @@ def gate(text: Column, min_words: int = 30, cookie_cap: float = 0.02, structure:
             return F.when(total >= LEAST_TOTAL, out).otherwise("ok")
 
         # letters whose other case is an ASCII letter count as that; so patterns need not try both cases
-        low = F.translate(F.lower(F.translate(t, "İ", "i")), "ſı", "si")
+        odd = F.contains(t, F.lit("İ")) | F.contains(t, F.lit("ſ")) | F.contains(t, F.lit("ı"))
+        low = F.when(odd, F.translate(F.lower(F.translate(t, "İ", "i")), "ſı", "si")).otherwise(F.lower(t))
         return let(F.struct(low.alias("low"), word_count(t).alias("total")), tried)
 
     def reason(t: Column) -> Column:

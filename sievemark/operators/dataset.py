@@ -188,9 +188,9 @@ def append(base: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def sample_ids(df: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:
-    """``k`` distinct ids, the same for a seed whatever the order of rows."""
+    """``k`` distinct ids, the same for a seed whatever the order of rows: those whose MD5 of ``seed:id`` comes first."""
     ids = df.select(blank_to_null(F.col(id_col)).alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    return ids.orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col).limit(k)
+    return ids.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")).cast("binary")), id_col).limit(k)
 
 
 def even_shares(df: DataFrame, order: str, n: int, name: str = "part") -> DataFrame:

@@ -124,3 +124,14 @@ def profile_markdown(offerings: DataFrame) -> DataFrame:
     rows = offerings.groupBy("company_id").agg(F.array_sort(F.collect_list(F.struct("type", "best", line.alias("line")))).alias("x"))
     part = lambda kind, title: F.concat(F.lit(f"## {title}\n"), F.array_join(F.transform(F.filter("x", lambda o: o["type"] == kind), lambda o: o["line"]), "\n"))
     return rows.select("company_id", F.concat_ws("\n\n", F.concat(F.lit("# "), F.col("company_id").cast("string")), part("product", "Products"), part("service", "Services")).alias("markdown"))
+
+
+def embed_outputs(offerings: DataFrame, embedder: Callable[[list[str]], list[list[float]]]) -> DataFrame:
+    """company_id, kind (profile or offering), id (of the company or the offering), text, embedding: a vector for each profile and each offering.
+
+    Equal texts are embedded once; a profile without text has no vector.
+    """
+    each = offerings.select("company_id", F.lit("offering").alias("kind"), F.col("offering_id").alias("id"), offering_text(F.col("best"), F.col("aliases"), F.col("type"), F.col("descriptions")).alias("text"))
+    whole = profile_markdown(offerings).select("company_id", F.lit("profile").alias("kind"), F.col("company_id").cast("string").alias("id"), F.col("markdown").alias("text"))
+    rows = each.unionByName(whole)
+    return rows.join(embed_texts(rows, "text", embedder), "text").select("company_id", "kind", "id", "text", "embedding")

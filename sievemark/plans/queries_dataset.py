@@ -116,6 +116,6 @@ def ds_steps(t):
     return run_steps(t("orders"), '[{"verb": "filter", "where": ["o_orderstatus=F"]}, {"verb": "dedup", "keys": ["o_custkey"], "order": "o_orderkey"}, {"verb": "copy", "keep": ["o_custkey", "o_orderkey"], "rename": {"o_orderkey": "id"}}]')
 
 
-@C.query("ds_sample_ids")
+@C.query("ds_sample_ids", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey FROM (SELECT DISTINCT c_custkey FROM customer) ORDER BY md5('7:' || CAST(c_custkey AS VARCHAR)), 1 LIMIT 50")
 def ds_sample_ids(t):
     return d.sample_ids(t("customer"), "c_custkey", 50, seed=7)

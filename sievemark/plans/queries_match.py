@@ -94,12 +94,34 @@ def entity_clusters(t):
     return profile.components(profile.similar_pairs(e, ["label"], "vec_id", "embedding", 0.5).select("a", "b"), e.select(F.col("vec_id").alias("node")))
 
 
-@C.query("canonical_offerings", r"""WITH m AS (SELECT p_partkey % 40 AS company_id, CASE WHEN p_size % 2 = 0 THEN 'product' ELSE 'service' END AS type, p_brand AS cluster, p_name AS name FROM part),
-k AS (SELECT *, row_number() OVER (PARTITION BY company_id, type, cluster ORDER BY least(length(name), 80) DESC, len(regexp_extract_all(lower(name), '[a-z0-9]+')) DESC, CAST(regexp_matches(name, '[A-Z]') AS INT) + CAST(regexp_matches(name, '[0-9]') AS INT) DESC, name) AS n FROM m)
+_MENTIONS = r"""WITH m AS (SELECT p_partkey % 40 AS company_id, CASE WHEN p_size % 2 = 0 THEN 'product' ELSE 'service' END AS type, p_brand AS cluster, p_name AS name FROM part),
+k AS (SELECT *, row_number() OVER (PARTITION BY company_id, type, cluster ORDER BY least(length(name), 80) DESC, len(regexp_extract_all(lower(name), '[a-z0-9]+')) DESC, CAST(regexp_matches(name, '[A-Z]') AS INT) + CAST(regexp_matches(name, '[0-9]') AS INT) DESC, name) AS n FROM m)"""
+
+
+@C.query("canonical_offerings", _MENTIONS + r"""
 SELECT company_id, type, cluster, max(name) FILTER (n = 1) AS best, count(*) AS mentions, count(DISTINCT name) - 1 AS n_aliases, 'off_' || substr(sha1(CAST(company_id AS VARCHAR) || '|' || type || '|' || lower(max(name) FILTER (n = 1))), 1, 16) AS offering_id FROM k GROUP BY 1, 2, 3""")
 def canonical_offerings(t):
-    rows = t("part").select((F.col("p_partkey") % 40).alias("company_id"), F.when(F.col("p_size") % 2 == 0, "product").otherwise("service").alias("type"), F.col("p_brand").alias("cluster"), F.col("p_name").alias("name"), F.lit("u").alias("source_url"), F.lit("").alias("description"))
-    return profile.canonical_offerings(rows).select("company_id", "type", "cluster", "best", "mentions", F.size("aliases").cast("long").alias("n_aliases"), "offering_id")
+    return profile.canonical_offerings(_mentions(t)).select("company_id", "type", "cluster", "best", "mentions", F.size("aliases").cast("long").alias("n_aliases"), "offering_id")
+
+
+def _mentions(t):
+    return t("part").select((F.col("p_partkey") % 40).alias("company_id"), F.when(F.col("p_size") % 2 == 0, "product").otherwise("service").alias("type"), F.col("p_brand").alias("cluster"), F.col("p_name").alias("name"), F.lit("u").alias("source_url"), F.lit("").alias("description"))
+
+
+@C.query("embed_outputs", _MENTIONS + r""", o AS (SELECT company_id, type, cluster, max(name) FILTER (n = 1) AS best, list_sort(list(DISTINCT name)) AS names FROM k GROUP BY 1, 2, 3),
+e AS (SELECT company_id, 'offering' AS kind, type, best, 'off_' || substr(sha1(CAST(company_id AS VARCHAR) || '|' || type || '|' || lower(best)), 1, 16) AS id, best || CASE WHEN len(names) > 1 THEN chr(10) || 'Aliases: ' || array_to_string(list_filter(names, lambda x: x <> best), ', ') ELSE '' END || chr(10) || 'Type: ' || type AS text FROM o),
+s AS (SELECT company_id, type, string_agg('- **' || best || '**', chr(10) ORDER BY best) AS lines FROM o GROUP BY 1, 2),
+p AS (SELECT company_id, 'profile' AS kind, CAST(company_id AS VARCHAR) AS id, '# ' || CAST(company_id AS VARCHAR) || chr(10) || chr(10) || '## Products' || chr(10) || coalesce(max(lines) FILTER (type = 'product'), '') || chr(10) || chr(10) || '## Services' || chr(10) || coalesce(max(lines) FILTER (type = 'service'), '') AS text FROM s GROUP BY 1),
+r AS (SELECT company_id, kind, id, text FROM e UNION ALL SELECT company_id, kind, id, text FROM p)
+SELECT company_id, kind, id, text, CAST(length(text) AS DOUBLE) AS chars, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS spaces FROM r""")
+def embed_outputs(t):
+    rows = profile.embed_outputs(profile.canonical_offerings(_mentions(t)), _shape)
+    return rows.select("company_id", "kind", "id", "text", F.col("embedding")[0].cast("double").alias("chars"), F.col("embedding")[1].cast("double").alias("spaces"))
+
+
+def _shape(texts: list[str]) -> list[list[float]]:
+    """A stand-in for a model that SQL can say as well: characters and spaces."""
+    return [[float(len(x)), float(x.count(" "))] for x in texts]
 
 
 _RAW = """CASE event_id % 6 WHEN 0 THEN '{"r":1}' WHEN 1 THEN '{"r": 0, "confidence": 0.4}' WHEN 2 THEN 'yes' WHEN 3 THEN '[1]' WHEN 4 THEN '{"presence":"no","score":1.5}' ELSE 'text {"r":1} text' END"""

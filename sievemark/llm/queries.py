@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, lm_scoring, near_dedup, quality_classifier, quality_rules, secret_scan, source_mix, url_filters, warc
+from . import decontamination, line_dedup, lm_scoring, near_dedup, quality_classifier, quality_rules, secret_scan, source_mix, twins, url_filters, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
-ORACLES: dict[str, str] = {
+ORACLES: dict[str, str] = twins.ORACLES | {
     "op5_line_dedup": rf"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 lines AS (SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line FROM cut),

@@ -348,7 +348,7 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     return _labelled(signed, label, held)
 
 
-def _meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+def meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """``rows`` left-joined with ``facts`` (one row a key) by ``key``.
 
     Keys that hold more than a thousandth of the rows, of which there are fewer than a thousand, are broadcast, so that no task gets all
@@ -364,7 +364,7 @@ def _meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
 
 def _labelled(signed: DataFrame, label: DataFrame, held: list[DataFrame]) -> DataFrame:
     """The rows with their labels, written; what was written on the way goes."""
-    out = _meet(signed.select("k1", "k2", "doc_id", "node").where(F.col("node").isNotNull()), label, "node").unionByName(signed.where(F.col("node").isNull()).select("k1", "k2", "doc_id", "node", F.lit(None).cast("long").alias("label")))
+    out = meet(signed.select("k1", "k2", "doc_id", "node").where(F.col("node").isNotNull()), label, "node").unionByName(signed.where(F.col("node").isNull()).select("k1", "k2", "doc_id", "node", F.lit(None).cast("long").alias("label")))
     out = table(out.select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
     release(*held)
     return out
@@ -383,7 +383,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     member = _members(docs, width)
     classed = member.where(F.col("label").isNotNull())
     first = table(classed.groupBy("label").agg(F.min("doc_id").alias("class_id")), "near-classes")
-    out = _meet(classed.select("label", "doc_id", "node"), first, "label").select("doc_id", "node", "class_id")
+    out = meet(classed.select("label", "doc_id", "node"), first, "label").select("doc_id", "node", "class_id")
     return out.union(member.where(F.col("label").isNull()).select("doc_id", "node", F.col("doc_id").alias("class_id")))
 
 
@@ -402,7 +402,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     member = _members(docs, width)
     classed = member.where(F.col("label").isNotNull())
     least = table(classed.groupBy("label").agg(F.min("doc_id").alias("least")), "near-classes")
-    first = _meet(classed, least, "label").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("label", "k1", "k2")
+    first = meet(classed, least, "label").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("label", "k1", "k2")
     one = first.join(first.groupBy("label").agg(F.min("k1").alias("k1")), ["label", "k1"]).groupBy("k1", "k2").agg(F.count("*").alias("c"))
     stay = table(one.union(member.where(F.col("label").isNull()).select("k1", "k2", F.lit(1).cast("long")).distinct()), "near-stay")
     keyed = docs.select(*row_key(column("doc_id").cast("long"), column("text")), packed(docs))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, lm_scoring, near_dedup, quality_classifier, quality_rules, secret_scan, source_mix, twins, url_filters, warc
+from . import decontamination, line_dedup, lm_scoring, near_dedup, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mix, twins, url_filters, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +67,11 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(_read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_url_filters, op4_quality_classifier, op5_line_dedup, op6_decontamination, op7_warc, op8_near_dedup, op9_secret_scan, op10_source_mix)}
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.simhash_components(_read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_url_filters, op4_quality_classifier, op5_line_dedup, op6_decontamination, op7_warc, op8_near_dedup, op9_secret_scan, op10_source_mix, op11_simhash_dedup)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, lm_scoring, near_dedup, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mix, twins, url_filters, warc
+from . import decontamination, line_dedup, lm_scoring, near_dedup, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash_dedup, source_mix, spelling_variants, twins, url_filters, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +75,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_url_filters, op4_quality_classifier, op5_line_dedup, op6_decontamination, op7_warc, op8_near_dedup, op9_secret_scan, op10_source_mix, op11_simhash_dedup, op12_prefix_trie)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_url_filters, op4_quality_classifier, op5_line_dedup, op6_decontamination, op7_warc, op8_near_dedup, op9_secret_scan, op10_source_mix, op11_simhash_dedup, op12_prefix_trie, op13_spelling_variants)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 

@@ -1,4 +1,4 @@
-"""What operators 2, 3 and 8 compute, said a second time in DuckDB's SQL: each rule by its definition, with none of the operators' methods."""
+"""What operators 2, 3, 8, 12 and 13 compute, said a second time in DuckDB's SQL: each rule by its definition, with none of the operators' methods."""
 
 from __future__ import annotations
 
@@ -78,4 +78,41 @@ class AS (SELECT node, min(seen) AS class_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id FROM d LEFT JOIN t ON d.w = t.w LEFT JOIN class ON class.node = t.node"""
 
 
-ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op3_url_filters": URL_FILTERS, "op8_near_dedup": NEAR_DUPLICATES}
+#: The table of CRC-32, by its polynomial.
+_CRC = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"
+
+
+def _crc(col: str) -> str:
+    """CRC-32 of a text, by the table ``crc.t``."""
+    bytes_ = f"list_transform(range(strlen({col})), lambda i: CAST('0x' || substr(hex(encode({col})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])))"
+
+
+PREFIX_TRIE = f"""
+WITH RECURSIVE {_CRC},
+own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT o.conv_id, o.turns, b.turns AS base, {_crc("CAST(o.conv_id AS VARCHAR)")} % 6 AS h FROM crc, own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+whole AS (SELECT conv_id, list_concat(coalesce(base, [])[1:h], turns[h + 1:]) AS turns FROM cut),
+prefix AS (SELECT conv_id, d, len(turns) AS size, turns[1:d] AS p, sha256(CAST(turns[1:d] AS VARCHAR)) AS key, sha256(CAST(turns[1:d - 1] AS VARCHAR)) AS up, turns FROM whole, unnest(range(len(turns) + 1)) AS x(d)),
+node AS (SELECT d, key, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(max(length(p[d].t)), 0) AS last, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256 FROM prefix GROUP BY d, key),
+child AS (SELECT d - 1 AS d, up AS key, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+below AS (SELECT p.d, p.key, sum((n.n_convs - 1) * n.last) AS saved, count(*) FILTER (c.key IS NULL) AS leaves
+  FROM node n JOIN prefix p ON p.conv_id = n.conv_id AND p.d <= n.d LEFT JOIN child c ON c.d = n.d AND c.key = n.key GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN below b ON b.d = n.d AND b.key = n.key LEFT JOIN child c ON c.d = n.d AND c.key = n.key LEFT JOIN node u ON n.d > 0 AND u.d = n.d - 1 AND u.key = n.up"""
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE {_CRC},
+every AS (SELECT d, run, count(*) AS n FROM (SELECT doc_id AS d, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+named AS (SELECT *, coalesce(CAST(d AS VARCHAR), '') || ':' || run AS s FROM every),
+hashed AS (SELECT run, n, {_crc("s")} AS h FROM named, crc),
+slip AS (SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slip WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+hole AS (SELECT word, n, k, word[:k] || word[k + 2:] AS rest FROM w, unnest(range(length(word))) AS x(k)),
+pair AS (SELECT a.word AS a, b.word AS b FROM hole a JOIN hole b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM hole a JOIN w b ON a.rest = b.word UNION SELECT b.word, a.word FROM hole a JOIN w b ON a.rest = b.word),
+top AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS best, max(w.n) AS best_n FROM pair JOIN w ON w.word = b GROUP BY a),
+found AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN top USING (word)),
+up AS (SELECT word, form AS root FROM found WHERE form IS NOT NULL UNION SELECT up.word, f.form FROM up JOIN found f ON f.word = up.root WHERE f.form IS NOT NULL),
+last AS (SELECT up.word, up.root FROM up JOIN found f ON f.word = up.root WHERE f.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM found LEFT JOIN last USING (word)"""
+ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op3_url_filters": URL_FILTERS, "op8_near_dedup": NEAR_DUPLICATES, "op12_prefix_trie": PREFIX_TRIE, "op13_spelling_variants": SPELLING_VARIANTS}

@@ -2,9 +2,9 @@
 
 import duckdb
 
-from sievemark.llm import near_dedup, quality_rules, queries, twins, url_filters
+from sievemark.llm import near_dedup, prefix_trie, quality_rules, queries, spelling_variants, twins, url_filters
 
-from ..oracle import same
+from ..oracle import connect, same
 from .conftest import docs_frame
 
 PROSE = ["The river rose over night, and the mill stood still until noon.", "Nobody had told the children why the bell was silent.", "“Wait for the boat,” she said; it came late (as always)."]
@@ -18,7 +18,7 @@ LINES = [
 def con_with(**tables):
     con = duckdb.connect()
     for name, df in tables.items():
-        con.register(name, df.toPandas())
+        con.register(name, df.toArrow())
     return con
 
 
@@ -54,3 +54,25 @@ def test_near_duplicates(spark):
     rows += [(20, "a"), (21, " A\n"), (22, "a b"), (23, "x " * 40), (24, "x " * 41), (25, "x " * 80), (26, None), (27, ""), (28, "p q r s t"), (29, "p q r s t")]
     docs = docs_frame(spark, rows)
     same(near_dedup.near_duplicates(docs).select("doc_id", "class_id"), con_with(documents=docs), twins.NEAR_DUPLICATES)
+
+
+def test_prefix_trie(spark):
+    rows = [(c, t, "user" if t % 2 == 0 else None, "hello" if t == 0 else f"t{(c * 7 + t) % 3} é") for c in (*range(0, 40), *range(100, 160), 305, -7) for t in range(c % 4 + 2)]
+    rows += [(500, None, "a", None), (500, 1, None, "b"), (501, 0, "a", "x"), (None, 0, "user", "hello"), (502, 3, "a", "twice"), (502, 3, "a", "twice")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    same(prefix_trie.prefix_trie(turns), con_with(conversations=turns), twins.PREFIX_TRIE)
+
+
+def test_spelling_variants(spark):
+    words = ["Language", "langage", "languages", "über÷setzung", "übersetzungen", "ubersetzungen", "mañanas×seguros", "naïvetés", "abcdefg", "abcdefgh", "日本language"]
+    rows = [(i, " ".join(words[(i * j) % len(words)] for j in range(25))) for i in range(40)] + [(None, "language mañanas"), (77, None), (78, ""), (79, "chaining " * 300 + "chainingx " * 20 + "chainingxy " * 2)]
+    docs = docs_frame(spark, rows)
+    out = spelling_variants.spelling_variants(docs)
+    assert out.where("root <> coalesce(form, word)").count()
+    same(out, con_with(documents=docs), twins.SPELLING_VARIANTS)
+
+
+def test_queries(spark):
+    con = connect("/root/testdata/sf0.01")
+    for name in ("op12_prefix_trie", "op13_spelling_variants"):
+        same(queries.QUERIES[name](spark, "/root/testdata/sf0.01"), con, queries.ORACLES[name])

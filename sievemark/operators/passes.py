@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import table
 from . import payload
 
 
@@ -43,7 +44,8 @@ def full_pass(pending: DataFrame, extract: Callable[[list[str]], list[str]]) ->
     """Patches of the URL index and product records of pending pages (company_id, url, markdown_path, body).
 
     patches: company_id, url, status, extracted, presence (null where no model was asked). Only pages with text reach the model. products: company_id,
-    url, type, name, description, tags of offerings that the page supports. A page whose offerings all go has presence 0.
+    url, type, name, description, tags of offerings that the page supports. A page whose offerings all go has presence 0. The model is asked when this
+    is called, once a page; its answers, not the pages, are kept in the shared folder. A lost task asks again for its pages alone.
     """
     path, text = F.coalesce(F.trim("markdown_path"), F.lit("")), F.coalesce(F.trim("body"), F.lit(""))
     why = F.when(path == "", "llm_full_skipped_no_markdown").when(text == "", "llm_full_empty_markdown")
@@ -55,13 +57,13 @@ def full_pass(pending: DataFrame, extract: Callable[[list[str]], list[str]]) ->
             yield pdf.assign(raw=extract(pdf["body"].tolist()))
 
     asked = rows.where(F.col("status").isNull()).select("company_id", "url", "body").mapInPandas(part, f"company_id {kind}, url string, body string, raw string")
-    answers = payload.salvage(asked, "raw")
-    products = payload.offerings(answers, ["company_id", "url", "body"])
-    products = products.where(payload.supported(F.col("body"), F.col("name"), F.col("description"), F.col("tags"))).drop("body")
-    found = products.select("company_id", "url", F.lit(1).alias("presence")).distinct()
-    done = answers.select("company_id", "url").join(found, ["company_id", "url"], "left")
+    stays = payload.supported(payload.offering_list(F.col("json")), F.col("body"))
+    # written once, so that each page is asked once, and patches and products rest on the same answer
+    answers = table(payload.salvage(asked, "raw").select("company_id", "url", stays.alias("offerings")), "full-answers")
+    products = answers.select("company_id", "url", F.explode("offerings").alias("o")).select("company_id", "url", "o.*")
     patches = rows.where(F.col("status").isNotNull()).select("company_id", "url", "status", F.lit(1).alias("extracted"), F.lit(None).cast("int").alias("presence"))
-    return patches.unionByName(done.select("company_id", "url", F.lit("llm_full_extracted").alias("status"), F.lit(1).alias("extracted"), F.coalesce("presence", F.lit(0)).alias("presence"))), products
+    done = answers.select("company_id", "url", F.lit("llm_full_extracted").alias("status"), F.lit(1).alias("extracted"), (F.size("offerings") > 0).cast("int").alias("presence"))
+    return patches.unionByName(done), products
 
 
 def link_products(files: DataFrame, entries: DataFrame) -> DataFrame:

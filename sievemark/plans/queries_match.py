@@ -124,21 +124,46 @@ def _shape(texts: list[str]) -> list[list[float]]:
     return [[float(len(x)), float(x.count(" "))] for x in texts]
 
 
-_RAW = """CASE event_id % 6 WHEN 0 THEN '{"r":1}' WHEN 1 THEN '{"r": 0, "confidence": 0.4}' WHEN 2 THEN 'yes' WHEN 3 THEN '[1]' WHEN 4 THEN '{"presence":"no","score":1.5}' ELSE 'text {"r":1} text' END"""
+_SAID = "CASE WHEN user_id % 2 = 1 THEN '1' ELSE '0' END"
+_WORD = "CASE WHEN user_id % 2 = 1 THEN 'yes' ELSE 'No' END"
+_CONF = "'0.' || CAST(10 + event_id % 90 AS VARCHAR(9))"
+_RAW = f"""CASE event_id % 9 WHEN 0 THEN '{{"r":' || {_SAID} || '}}' WHEN 1 THEN '{{"r": ' || {_SAID} || ', "confidence": ' || {_CONF} || '}}' WHEN 2 THEN {_WORD} WHEN 3 THEN '[' || {_SAID} || ', 1]' WHEN 4 THEN '{{"presence":"' || {_WORD} || '","score":1.5,"p":' || {_CONF} || '}}'
+WHEN 5 THEN 'text {{"r":' || {_SAID} || '}} text' WHEN 6 THEN '{{"r":' || {_SAID} || ',"score":1.5,"p":' || {_CONF} || '}}' WHEN 7 THEN 'maybe ' || {_WORD} ELSE '{{"r":"?","value":"' || {_WORD} || '","prob":"' || {_CONF} || '"}}' END"""
 
 
-@C.query("presence_parse", "SELECT event_id, event_id % 6 IN (0, 2, 3, 5) AS has, CASE event_id % 6 WHEN 1 THEN 0.4::DOUBLE END AS confidence FROM events")
+@C.query("presence_parse", f"SELECT event_id, event_id % 9 <> 7 AND user_id % 2 = 1 AS has, CASE WHEN event_id % 9 IN (1, 4, 8) THEN CAST({_CONF} AS DOUBLE) END AS confidence FROM events")
 def presence_parse(t):
-    rows = payload.salvage(t("events").select("event_id", F.expr(_RAW).alias("raw")), "raw")
-    return rows.select("event_id", payload.presence(F.coalesce("json", "raw")).alias("p")).select("event_id", "p.has", "p.confidence")
-
-
-@C.query("offering_parse", """WITH r AS (SELECT event_id, x.k, x.type, x.name, x.description FROM events, (VALUES (0, 'product', 'Widget', 'a'), (1, 'Services', 'Repair', 'longer text'), (2, 'product', 'widget', 'the longest one')) x(k, type, name, description))
-SELECT event_id, CASE WHEN k = 1 THEN 'service' ELSE 'product' END AS type, name, description FROM r WHERE k > 0""")
+    raw = F.expr(_RAW.replace("VARCHAR(9)", "STRING"))
+    rows = payload.salvage(t("events").select("event_id", raw.alias("raw")), "raw", unwrap=False)
+    return rows.select("event_id", payload.presence(F.col("json"), F.col("raw")).alias("p")).select("event_id", "p.has", "p.confidence")
+
+
+#: A payload of each form; ``~`` stands for a quote within a text.
+_PAYLOAD = """CASE p_partkey % 10
+WHEN 0 THEN '{"offerings":[{"type":"product","name":"' || p_name || '","description":"' || p_type || '"},{"type":"Services","name":" Repair ' || p_brand || ' ","description":"on  ' || p_name || '"}]}'
+WHEN 1 THEN '{"items":[{"title":"' || p_name || '","summary":"' || p_type || '","category":"' || p_type || '","keywords":"' || p_type || '|' || p_brand || ' |' || lower(p_type) || '"}]}'
+WHEN 2 THEN '{"products":["' || p_name || '",{"label":"' || p_brand || '","kind":"service"},7]}'
+WHEN 3 THEN '{"services":["' || p_name || '",{"name":"' || p_brand || '","type":"product"}]}'
+WHEN 4 THEN '{"name":"' || p_name || '","type":"' || p_type || '"}'
+WHEN 5 THEN '[{"name":"' || p_name || '","description":"a"},{"offerings":[{"name":"' || upper(p_name) || '","description":"longer ' || p_type || '"}]},"x"]'
+WHEN 6 THEN replace('{"content":"{~products~:[~' || p_name || '~]}"}', '~', chr(92) || '"')
+WHEN 7 THEN 'Here you are: {"offerings":[{"name":"' || p_name || '","tags":["' || p_type || '","' || lower(p_type) || '","Home"]}]} - done'
+WHEN 8 THEN 'nothing for ' || p_name
+ELSE '{"offerings":[{"name":"","description":"' || p_name || '"},{"name":"' || p_brand || '","description":"Managed ' || p_name || '"}]}' END"""
+
+
+@C.query("offering_parse", """WITH x AS (
+SELECT p_partkey, 'product' AS type, p_name AS name, p_type AS description, '' AS tags FROM part WHERE p_partkey % 10 = 0 UNION ALL SELECT p_partkey, 'service', 'Repair ' || p_brand, 'on ' || p_name, '' FROM part WHERE p_partkey % 10 = 0
+UNION ALL SELECT p_partkey, 'product', p_name, p_type, p_type || ';' || p_brand FROM part WHERE p_partkey % 10 = 1
+UNION ALL SELECT p_partkey, 'product', unnest([p_name, p_brand]) AS n, n, '' FROM part WHERE p_partkey % 10 = 2
+UNION ALL SELECT p_partkey, CASE WHEN i = 1 THEN 'service' ELSE 'product' END, [p_name, p_brand][i], [p_name, p_brand][i], '' FROM part, (VALUES (1), (2)) v(i) WHERE p_partkey % 10 = 3
+UNION ALL SELECT p_partkey, 'product', p_name, p_name, CASE WHEN p_partkey % 10 = 7 THEN p_type ELSE '' END FROM part WHERE p_partkey % 10 IN (4, 6, 7)
+UNION ALL SELECT p_partkey, 'product', upper(p_name), 'longer ' || p_type, '' FROM part WHERE p_partkey % 10 = 5
+UNION ALL SELECT p_partkey, 'service', p_brand, 'Managed ' || p_name, '' FROM part WHERE p_partkey % 10 = 9)
+SELECT * FROM x""")
 def offering_parse(t):
-    doc = '{"offerings":[{"type":"product","name":"Widget","description":"a"},{"type":"Services","name":" Repair ","description":"longer  text"},{"type":"product","name":"widget","description":"the longest one"},{"name":""}]}'
-    rows = payload.salvage(t("events").select("event_id", F.lit(f"Here: {doc} done").alias("raw")), "raw")
-    return payload.offerings(rows, ["event_id"]).select("event_id", "type", "name", "description")
+    rows = payload.salvage(t("part").select("p_partkey", F.expr(_PAYLOAD).alias("raw")), "raw")
+    return payload.offerings(rows, ["p_partkey"]).select("p_partkey", "type", "name", "description", F.array_join("tags", ";").alias("tags"))
 
 
 @C.query("presence_merge", "SELECT user_id, bool_or(event_type = 'purchase') AS has, max(value) AS confidence, arg_max(props, event_id) AS preview FROM events GROUP BY 1")
@@ -165,7 +190,7 @@ def embed_offerings(t):
     return profile.embed_texts(rows, "text", profile.hashed_embedding)
 
 
-@C.query("text_lists", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'a;B' ELSE 'x;y' END AS tags FROM events")
+@C.query("text_lists", """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_type || ';' || p_name WHEN 1 THEN p_type || ';' || p_brand || ', x' ELSE replace(p_name, ' ', ';') || ';' || upper(p_name) END AS tags FROM part""")
 def text_lists(t):
-    raw = F.when(F.col("event_id") % 2 == 0, "a | B|b ||A").otherwise("x, y,X")
-    return t("events").select("event_id", F.array_join(text.text_list(raw), ";").alias("tags"))
+    raw = F.expr("CASE p_partkey % 3 WHEN 0 THEN p_type || ' | ' || p_name || '||' || lower(p_type) WHEN 1 THEN p_type || ';' || p_brand || ', x' ELSE replace(p_name, ' ', ' , ') || ',,' || upper(p_name) || ', ' || p_name END")
+    return t("part").select("p_partkey", F.array_join(text.text_list(raw), ";").alias("tags"))

@@ -17,28 +17,33 @@ INSTRUCTION = "List what the company offers."
 
 
 def _extract(bodies: list[str]) -> list[str]:
-    """A stand-in for a model: two offerings, of which one needs the page, and sometimes text around the JSON."""
-    found = [{"type": "product", "name": "The thing", "description": "A"}, {"type": "service", "name": "Zzzzzz", "tags": []}]
-    return [("Here: " if len(b) % 2 else "") + json.dumps({"offerings": [*found, *([{"type": "services", "name": "Repair", "tags": ["fast"]}] if len(b) % 3 == 0 else [])]}) for b in bodies]
+    """A stand-in for a model, whose answers take another form from page to page."""
+    out = []
+    for body in bodies:
+        page = int(body.split()[2])
+        out.append([
+            json.dumps({"products": [f"page {page}", "Careers"]}), json.dumps({"offerings": [{"name": "Zzzz", "description": "arms with grippers"}]}), json.dumps({"offerings": [{"name": "Zzzz", "description": "arms only"}]}),
+            "Answer: " + json.dumps({"items": [{"title": "Yyyy", "type": "solutions", "tags": ["a"]}]}), "none", json.dumps({"content": json.dumps({"services": ["Grippers®"]})}),
+        ][page % 6])
+    return out
 
 
 def _pending(t):
     k = F.col("page_id") % 4
-    return t("pages").select(F.col("page_id").alias("company_id"), "url", F.when(k != 0, "x.md").alias("markdown_path"), F.when(k >= 2, F.concat(F.when(k == 2, "some thing here ").otherwise("none "), F.repeat(F.lit("x"), (F.col("page_id") % 7).cast("int")))).otherwise(" ").alias("body"))
+    body = F.concat(F.lit("# Page "), F.col("page_id").cast("string"), F.lit(" robot arms and grippers at "), F.col("url"))
+    return t("pages").select(F.col("page_id").alias("company_id"), "url", F.when(k != 0, "x.md").alias("markdown_path"), F.when(k >= 2, body).otherwise(" ").alias("body"))
 
 
-_BODY = "length(CASE WHEN page_id % 4 = 2 THEN 'some thing here ' ELSE 'none ' END || repeat('x', page_id % 7))"
-
-
-@C.query("full_pass", f"""SELECT page_id AS company_id, url, CASE page_id % 4 WHEN 0 THEN 'llm_full_skipped_no_markdown' WHEN 1 THEN 'llm_full_empty_markdown' ELSE 'llm_full_extracted' END AS status, 1 AS extracted,
-  CASE WHEN page_id % 4 >= 2 THEN CASE WHEN page_id % 4 = 2 OR {_BODY} % 3 = 0 THEN 1 ELSE 0 END END AS presence FROM pages""")
+@C.query("full_pass", """SELECT page_id AS company_id, url, CASE page_id % 4 WHEN 0 THEN 'llm_full_skipped_no_markdown' WHEN 1 THEN 'llm_full_empty_markdown' ELSE 'llm_full_extracted' END AS status, 1 AS extracted,
+  CASE WHEN page_id % 4 >= 2 THEN CASE WHEN page_id % 6 IN (0, 1, 3, 5) THEN 1 ELSE 0 END END AS presence FROM pages""")
 def full_pass(t):
     return passes.full_pass(_pending(t), _extract)[0]
 
 
-@C.query("full_pass_products", f"""SELECT page_id AS company_id, url, 'product' AS type, 'The thing' AS name FROM pages WHERE page_id % 4 = 2 UNION ALL SELECT page_id, url, 'service', 'Repair' FROM pages WHERE page_id % 4 >= 2 AND {_BODY} % 3 = 0""")
+@C.query("full_pass_products", """SELECT page_id AS company_id, url, CASE WHEN page_id % 6 IN (3, 5) THEN 'service' ELSE 'product' END AS type, CASE page_id % 6 WHEN 0 THEN 'page ' || page_id WHEN 1 THEN 'Zzzz' WHEN 3 THEN 'Yyyy' ELSE 'Grippers®' END AS name,
+  CASE page_id % 6 WHEN 0 THEN 'page ' || page_id WHEN 1 THEN 'arms with grippers' WHEN 3 THEN 'Yyyy' ELSE 'Grippers®' END AS description FROM pages WHERE page_id % 4 >= 2 AND page_id % 6 IN (0, 1, 3, 5)""")
 def full_pass_products(t):
-    return passes.full_pass(_pending(t), _extract)[1].select("company_id", "url", "type", "name")
+    return passes.full_pass(_pending(t), _extract)[1].select("company_id", "url", "type", "name", "description")
 
 
 _CTX = "CASE WHEN c_custkey % 3 = 0 THEN ' ' WHEN c_custkey % 3 = 1 THEN c_mktsegment END AS label, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS INT) END AS industry, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 9 AS INT) END AS nace"
@@ -212,10 +217,11 @@ def table_schema(t):
     return d.schema_of(t("nation").select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey")))
 
 
-@C.query("id_lists", "SELECT event_id, CASE event_id % 2 WHEN 0 THEN 'b,a' ELSE 'a' END AS ids FROM events")
+@C.query("id_lists", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_brand || ',' || p_type WHEN 1 THEN p_type ELSE '' END AS ids FROM part")
 def id_lists(t):
-    raw = F.when(F.col("event_id") % 2 == 0, F.array(F.lit(" b"), F.lit("a"), F.lit(""), F.lit("b "))).otherwise(F.array(F.lit("a"), F.lit(None).cast("string")))
-    return t("events").select("event_id", F.array_join(text.id_list(raw), ",").alias("ids"))
+    brand, kind = F.col("p_brand"), F.col("p_type")
+    raw = F.when(F.col("p_partkey") % 3 == 0, F.array(F.concat(F.lit(" "), brand), kind, F.lit(""), F.concat(brand, F.lit(" ")))).when(F.col("p_partkey") % 3 == 1, F.array(kind, F.lit(None).cast("string"))).otherwise(F.array(F.lit(" ")))
+    return t("part").select("p_partkey", F.array_join(text.id_list(raw), ",").alias("ids"))
 
 
 @C.query("artifact_names", r"""SELECT page_id, substr(regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1)) || regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80) || '-' || substr(sha1(url), 1, 8) AS name FROM pages""")

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from sievemark.functions import errors, gating, language, markup, text, urls, vectors
-from sievemark.operators import dataset, payload, profile, retry, state
+from sievemark.operators import dataset, profile, retry, state
 from sievemark.plans.steps import run_steps
 from sievemark.streaming import page_stream, retry_stream
 
@@ -62,8 +62,6 @@ def test_small_functions(spark):
     assert one(spark, text.markdown_text(c("t")), t="## Head\n- [x](y) `z` <i>q</i>\n```\ncode\n```\n![p](r) end") == "Head\nx z q \n \n end"
     assert one(spark, errors.compact(c("t")), t="  one\n two \nCall log: three") == "one two"
     assert one(spark, errors.compact(c("t"), 10), t="x" * 30) == "x" * 7 + "..."
-    assert one(spark, payload.supported(c("b"), c("n"), c("d"), F.array().cast("array<string>")), b="We sell Pumps.", n="pumps", d="") is True
-    assert one(spark, payload.supported(c("b"), c("n"), c("d"), F.array().cast("array<string>")), b="We sell pumps.", n="Menu", d="") is False
     assert one(spark, text.main_content(c("t")), t="menu\n# Title\nbody") == "# Title\nbody"
     assert one(spark, text.has_evidence(c("b"), c("n"), c("d")), b="a steel pump of iron", n="Steel Pump", d="") is True
     assert one(spark, text.truncate(c("t"), 4), t="abcdef") == "abc…"

@@ -13,7 +13,8 @@ node that is in the largest buckets; links that hold make components. Only in bu
 members of different components compared, if their sizes and a sketch of their registers allow the similarity. Buckets of more
 than ``DIRECT`` nodes do not pair their members: their nodes' rarest shingles, as many as two linked bags must share one of,
 give the pairs. So a large group of copies costs one comparison a node, not all pairs, and no link between components is lost.
-Comparisons count the overlap of the whole bags. Nothing is collected; nodes are 64-bit hashes of the word sequence.
+Comparisons count the overlap of the whole bags. Nothing is collected. A text is known by a 128-bit hash of its words, which
+different texts don't share; nodes are numbers of these hashes.
 """
 
 from __future__ import annotations
@@ -153,8 +154,8 @@ def overlap(a: list[bytes], b: list[bytes], cache: _Hashes, width: int = WIDTH)
 
 
 def _signed(rows: DataFrame, width: int) -> DataFrame:
-    """k1, k2, doc_id, text -> k1, k2, doc_id, node (null without words), n, sketch, bands."""
-    names = ["k1", "k2", "doc_id", "node", "n", "sketch", "bands"]
+    """k1, k2, doc_id, text -> k1, k2, doc_id, words (their hash, null without any), n, sketch, bands."""
+    names = ["k1", "k2", "doc_id", "words", "n", "sketch", "bands"]
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Hashes()
@@ -166,14 +167,14 @@ def _signed(rows: DataFrame, width: int) -> DataFrame:
                 if len(cache) > 500_000:
                     cache.clear()
 
-    return rows.mapInArrow(part, "k1 long, k2 long, doc_id long, node long, n long, sketch array<long>, bands array<long>")
+    return rows.mapInArrow(part, "k1 long, k2 long, doc_id long, words struct<high:long,low:long>, n long, sketch array<long>, bands array<long>")
 
 
 def _sign(rows: pa.RecordBatch, cache: _Hashes, width: int, names: list[str]) -> pa.RecordBatch:
     split = [tokens(t.as_py()) for t in rows.column("text")]
     some = [i for i, w in enumerate(split) if w]
-    node = np.zeros(len(split), np.int64)
-    node[some] = np.array([xxhash.xxh3_64_intdigest(b" ".join(split[i])) for i in some], np.uint64).astype(np.int64)
+    own = np.zeros((len(split), 2), np.int64)
+    own[some] = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b" ".join(split[i])) for i in some), np.int64).reshape(-1, 2)
     sketch, bands, n = [None] * len(split), [None] * len(split), [0] * len(split)
     if some:
         bags = [shingles(np.fromiter((cache[w] for w in split[i]), np.uint64, len(split[i])), width) for i in some]
@@ -184,8 +185,9 @@ def _sign(rows: pa.RecordBatch, cache: _Hashes, width: int, names: list[str]) ->
         key = _mix(key).astype(np.int64).tolist()
         for i, s, k, bag in zip(some, packed, key, bags, strict=True):
             sketch[i], bands[i], n[i] = s, k, len(bag)
-    has = pa.array([w is not None for w in bands])
-    return pa.RecordBatch.from_arrays([*(rows.column(c) for c in names[:3]), pa.array(node, mask=~np.array(has, bool)), pa.array(n, pa.int64()), pa.array(sketch, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))], names)
+    none = pa.array([w is None for w in bands], pa.bool_())
+    words = pa.StructArray.from_arrays([pa.array(own[:, 0].copy()), pa.array(own[:, 1].copy())], ["high", "low"], mask=none)
+    return pa.RecordBatch.from_arrays([*(rows.column(c) for c in names[:3]), words, pa.array(n, pa.int64()), pa.array(sketch, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))], names)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
@@ -304,12 +306,14 @@ def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int, held: list
 
 
 def _members(docs: DataFrame, width: int) -> DataFrame:
-    """k1, k2, doc_id, node and label (null without words) of every row."""
+    """k1, k2, doc_id, words and label (null without words) of every row."""
     need(docs, "doc_id", "text")
     rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").alias("text")).select(*row_key(F.col("doc_id"), F.col("text")), "doc_id", "text")
     signed = table(_signed(rows, width), "near-signed")
-    nodes = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    nodes = table(nodes.withColumnRenamed("k1", "q1").withColumnRenamed("k2", "q2"), "near-nodes")
+    nodes = signed.where(F.col("words").isNotNull()).groupBy("words").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    # in order of the hashes, so that reruns give them the same numbers
+    nodes = nodes.withColumnRenamed("k1", "q1").withColumnRenamed("k2", "q2").sortWithinPartitions("words").withColumn("node", F.monotonically_increasing_id())
+    nodes = table(nodes, "near-nodes")
     cells = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = cells.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     cells = table(cells.join(shared, "bucket"), "near-cells")
@@ -332,7 +336,7 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     rest = table(placed.join(mixed, "bucket").join(about, "node"), "near-rest")
     held.append(rest)
     if rest.isEmpty():
-        return _labelled(signed, label, held)
+        return _labelled(signed, nodes, label, held)
     few, many = rest.where(F.col("held") <= DIRECT), rest.where(F.col("held") > DIRECT)
     x, y = few.alias("x"), few.alias("y")
     cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & _sketches_allow("x", "y"))
@@ -345,7 +349,7 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
     if not more.isEmpty():
         label = components(links.union(more))
 
-    return _labelled(signed, label, held)
+    return _labelled(signed, nodes, label, held)
 
 
 def meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
@@ -362,16 +366,18 @@ def meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return marked.where(F.col("fact").isNotNull()).select(*rows.columns, "fact.*").unionByName(rest)
 
 
-def _labelled(signed: DataFrame, label: DataFrame, held: list[DataFrame]) -> DataFrame:
+def _labelled(signed: DataFrame, nodes: DataFrame, label: DataFrame, held: list[DataFrame]) -> DataFrame:
     """The rows with their labels, written; what was written on the way goes."""
-    out = meet(signed.select("k1", "k2", "doc_id", "node").where(F.col("node").isNotNull()), label, "node").unionByName(signed.where(F.col("node").isNull()).select("k1", "k2", "doc_id", "node", F.lit(None).cast("long").alias("label")))
-    out = table(out.select("k1", "k2", "doc_id", "node", F.coalesce("label", "node").alias("label")), "near-member")
+    known = nodes.select("words", "node").join(label, "node", "left").select("words", F.coalesce("label", "node").alias("label"))
+    rows = signed.select("k1", "k2", "doc_id", "words")
+    out = meet(rows.where(F.col("words").isNotNull()), known, "words").unionByName(rows.where(F.col("words").isNull()).withColumn("label", F.lit(None).cast("long")))
+    out = table(out, "near-member")
     release(*held)
     return out
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, node, class_id for every row of ``docs`` (doc_id, text).
+    """doc_id, node, class_id for every row of ``docs`` (doc_id, text); ``node`` is the hash of its words in 32 hex digits, null without any.
 
     Words are lower-cased (A-Z) and cut at ASCII white space. Rows with the same words are copies; other rows are linked if the
     weighted Jaccard similarity of their bags of ``width``-word shingles (all words, where there are fewer) is 0.8 or more. A class is a
@@ -383,8 +389,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     member = _members(docs, width)
     classed = member.where(F.col("label").isNotNull())
     first = table(classed.groupBy("label").agg(F.min("doc_id").alias("class_id")), "near-classes")
-    out = meet(classed.select("label", "doc_id", "node"), first, "label").select("doc_id", "node", "class_id")
-    return out.union(member.where(F.col("label").isNull()).select("doc_id", "node", F.col("doc_id").alias("class_id")))
+    node = F.lower(F.concat(F.lpad(F.hex("words.high"), 16, "0"), F.lpad(F.hex("words.low"), 16, "0"))).alias("node")
+    out = meet(classed.select("label", "doc_id", "words"), first, "label").select("doc_id", node, "class_id")
+    return out.union(member.where(F.col("label").isNull()).select("doc_id", F.lit(None).cast("string"), F.col("doc_id").alias("class_id")))
 
 
 def _allowed(pairs: DataFrame, about: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ before candidates are looked for, so the cost is near to linear in a text's leng
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -185,11 +186,19 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by ``mark``; spans that overlap or touch are replaced together. A text without spans stays as it is."""
+    """``docs`` with every span of ``text`` replaced by ``mark``; spans that overlap or touch are replaced together. All else stays as it is.
+
+    A text that has the character with which spans are masked on the way is put together from its own code points.
+    """
     rows = _scanned(docs)
     cut = lambda x: F.concat(F.substr(x["found"], F.lit(1), x["w"]["start"]), F.repeat(F.lit(MASK), x["w"]["end"] - x["w"]["start"]), F.substr(x["found"], x["w"]["end"] + 1))
     pieces = F.transform("held", lambda x: F.concat(x["part"], F.when(F.coalesce(x["w"]["end"] > 0, F.lit(False)), cut(x)).otherwise(F.coalesce(x["found"], F.lit("")))))
     masked = F.when(F.col("held").isNull(), F.col("masked")).otherwise(F.array_join(pieces, ""))
     rows = rows.select("row", masked.alias("masked"))
-    text = F.when(F.contains("masked", F.lit(MASK)), F.regexp_replace("masked", f"{MASK}+", mark)).otherwise(F.col("row.text"))
+    own = F.col("row.text")
+    points = lambda c: F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    both = F.zip_with(points(own), points(F.col("masked")), lambda o, m: F.struct(o.alias("own"), (m == MASK).alias("gone")))
+    kept = _let(both, lambda b: F.transform(b, lambda x, i: F.when(~x["gone"], x["own"]).when((i > 0) & b[F.greatest(i - 1, F.lit(0))]["gone"], "").otherwise(mark)))
+    plain = F.regexp_replace("masked", f"{MASK}+", F.lit(re.sub(r"([\\$])", r"\\\1", mark)))
+    text = F.when(~F.contains("masked", F.lit(MASK)), own).when(F.contains(own, F.lit(MASK)), F.array_join(kept, "")).otherwise(plain)
     return rows.select(*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))

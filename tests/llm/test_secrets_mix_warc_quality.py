@@ -1,10 +1,13 @@
 import hashlib
 import io
+import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -65,6 +68,14 @@ def test_entropy_spans_and_allow_list(spark):
     assert [r.text for r in secret_scan.redact(rows).orderBy("doc_id").collect()][0] == "key [secret] end"
 
 
+@pytest.mark.parametrize("mark", ["[secret]", "$1\\x"])
+def test_redact_keeps_every_other_character(spark, mark):
+    texts = ["\uf8ff logo, password: abcdefghijkl0", "\uf8ff\x01\uf8ff", "😀\uf8ffpassword: abcdefghijkl0\uf8fftoken=abcdefghijkl1\n\uf8ff", "no mark, password: abcdefghijkl0 \x01 after", "", None, "\uf8ffab" * 300_000]
+    want = [f"\uf8ff logo, {mark}", texts[1], f"😀\uf8ff{mark}\uf8ff{mark}\n\uf8ff", f"no mark, {mark} \x01 after", "", None, texts[6]]
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs_frame(spark, list(enumerate(texts))), mark).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def targets_brute(sizes):
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {s: [1, 2, 3][i % 3] for i, s in enumerate(names)}
@@ -106,6 +117,46 @@ def test_mix_meets_targets(spark, sf):
     assert key(mixed) == key(source_mix.mix_sources(docs.repartition(7)))
 
 
+def test_mix_takes_the_head_of_the_pareto_order(spark):
+    """Odds worked out anew in Python: what a source takes beyond whole copies is the head of the ranking that comes nearest to what is left."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{i}.{k}" for k in range(rng.choice((0, 1, 5, 20, 60, 200)))), rng.choice("aaaaabbbccd")) for i in range(900)]
+    docs = docs_frame(spark, rows)
+    known = {r.doc_id: (r.u, r.k1, r.k2) for r in source_mix._ranked(docs, 17, F.col("doc_id")).collect()}
+    out = {r.doc_id: r for r in source_mix.mix_sources(docs).collect()}
+    sampled = 0
+    for source in "abcd":
+        own = [out[i] for i, _, s in rows if s == source]
+        total, target = own[0].source_size, own[0].target
+        whole = math.floor(target / total + 1e-9)
+        rest = target - whole * total
+        weight = {r.doc_id: r["size"] ** 0.25 for r in own}
+        mean = max(1.0, sum(r["size"] * weight[r.doc_id] for r in own) / total)
+
+        def place(r):
+            chance = min(0.999999, max(1e-9, rest / total * weight[r.doc_id] / mean))
+            u = known[r.doc_id][0]
+            return u / (1 - u) * (1 - chance) / chance, *known[r.doc_id][1:]
+
+        ranked = sorted((r for r in own if r["size"] and rest > 0), key=place)
+        upto, head = 0, set()
+        for r in ranked:
+            if upto + r["size"] / 2 > rest:
+                break
+            head.add(r.doc_id)
+            upto += r["size"]
+        sampled += len(head)
+        assert {r.doc_id for r in own if r.copies > whole} == head
+        assert all(r.copies >= whole for r in own)
+    assert sampled > 100
+
+
+def test_mix_of_many_sources(spark):
+    docs = docs_frame(spark, [(i, "a b c " * (1 + i % 3), f"host{i % 1500:04d}") for i in range(3000)])
+    taken, want, largest = check_mix(source_mix.mix_sources(docs), docs)
+    assert len(taken) == 1500 and all(abs(taken[s] - want[s]) <= largest[s] / 2 + 1 for s in want)
+
+
 def test_mix_with_caps_nulls_and_empty_sources(spark):
     rows = [(i, f"w{i} " * (1 + i % 5), "big") for i in range(300)] + [(1000, "one two three", "a"), (1001, None, "b"), (1002, "", None), (None, "x y", None), (1003, "q r", "c"), (1003, "q r", "c")]
     docs = docs_frame(spark, rows, ("target", "copies"))

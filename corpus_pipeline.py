@@ -42,8 +42,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written in the shared folder and read again."""
+    """All stages over ``documents``; each result is written in the shared folder and read again, and goes once the next one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = common.table(stage(spark, docs, sf_dir), name)
+        before, docs = docs, common.table(stage(spark, docs, sf_dir), name)
+        common.release(before)
     return docs

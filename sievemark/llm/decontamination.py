@@ -6,14 +6,14 @@ not know cannot match and are left out. All test suffixes then search the array
 binary searches each (first and last place), which gives every verbatim occurrence; neighbours on
 one diagonal join to the longest matches. Training texts are neither shuffled nor gathered.
 
-Tests are broadcast in blocks of bounded size; a larger test set takes more passes, not more memory: what a pass finds is
-written before the next begins, so that one index is alive at a time.
+Tests are broadcast in blocks of bounded size; a larger test set takes more passes over the texts, not more memory. Each pass writes
+its hits alone, by a key of the text, before the next begins; at the end they are joined to the rows. One item is never cut.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need, packed, release, table
+from .common import column, need, packed, release, row_key, table
+from .near_dedup import meet
 
 #: What separates words: ASCII but for letters and digits. A-Z become a-z.
 _TABLE = bytes(i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i > 127 else 32 for i in range(256))
+#: The same words for regular expressions.
+WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MATCH = T.StructType([T.StructField("item_id", T.StringType()), *(T.StructField(c, T.IntegerType()) for c in ("doc_word", "item_word", "n_words"))])
 RESULT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("ranges", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("matches", T.ArrayType(MATCH))])
 
@@ -149,11 +152,18 @@ def _shard(tests: TestSuffixes, split: list[list[bytes]]) -> list[tuple[np.ndarr
     for f, length in zip(first, (last - first + size[first]).tolist(), strict=True):
         best = out[who[f]][1]
         name = tests.names[item[f]]
-        if name is not None and length > best.get(name, (0, 0, 0))[2]:
-            best[name] = (int(pos[f] - starts[who[f]]), int(offset[f]), length)
+        if name is not None:
+            _better(best, name, (int(pos[f] - starts[who[f]]), int(offset[f]), length))
     return out
 
 
+def _better(best: dict[str, tuple[int, int, int]], item: str, match: tuple[int, int, int]) -> None:
+    """Keep the longer match (place in the text, place in the item, words) of an item; of equal ones the first in the text, then in the item."""
+    old = best.get(item)
+    if old is None or (-match[2], match[:2]) < (-old[2], old[:2]):
+        best[item] = match
+
+
 @lru_cache(maxsize=1)
 def _index(broadcast, width: int) -> TestSuffixes:
     return TestSuffixes(broadcast.value, width)
@@ -170,49 +180,80 @@ def _blocks(benchmark: DataFrame, limit: int, unnamed: bool) -> Iterator[tuple[l
         yield sorted((tuple(r) for r in own.collect()), key=lambda x: (x[0] is None, x[0] or "", x[1])), k == n - 1
 
 
+_MATCH = pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())])
+_TYPES = {"n_words": pa.int64(), "ranges": pa.list_(pa.int32()), "items": pa.list_(pa.string()), "matches": pa.list_(_MATCH)}
+
+
+def _result(n_words: list[int], found: list[tuple[np.ndarray, dict[str, tuple[int, int, int]]]]) -> list[pa.Array]:
+    """Columns of ``RESULT``."""
+    matches = [[dict(zip(("item_id", "doc_word", "item_word", "n_words"), (i, *best[i]), strict=True)) for i in sorted(best)] for _, best in found]
+    made = {"n_words": n_words, "ranges": [r.ravel().tolist() for r, _ in found], "items": [sorted(best) for _, best in found], "matches": matches}
+    return [pa.array(made[c], t) for c, t in _TYPES.items()]
+
+
+def _pass(rows: DataFrame, block: list[tuple[str | None, str]], width: int, shard_words: int, hits_only: bool) -> DataFrame:
+    """``rows`` (text and others) without their text, with what ``block`` hits in it; with ``hits_only`` those with a hit."""
+    index = rows.sparkSession.sparkContext.broadcast(block)
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = _index(index, width)
+        for batch in batches:
+            lengths = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            for k in np.unique(lengths // (6 * shard_words)):
+                a, b = np.searchsorted(lengths // (6 * shard_words), [k, k + 1])
+                some = batch.slice(a, b - a)
+                split = [words(t.as_py()) for t in some.column("text")]
+                found = _shard(tests, split)
+                at = [i for i, (ranges, _) in enumerate(found) if len(ranges) or not hits_only]
+                made = _result([len(split[i]) for i in at], [found[i] for i in at])
+                yield pa.RecordBatch.from_arrays([*(some.column(f.name).take(pa.array(at, pa.int64())) for f in kept), *made], [*(f.name for f in kept), *_TYPES])
+
+    return rows.mapInArrow(part, T.StructType([*kept, *RESULT]))
+
+
+def _together(found: DataFrame) -> DataFrame:
+    """key, found (``RESULT``) of texts that several blocks hit: covers are joined, and of each item the longest match stays."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_words, out = [], []
+            for parts in batch.column("parts").to_pylist():
+                ranges = _merge(np.vstack([np.array(p["ranges"], np.int64).reshape(-1, 2) for p in parts]))
+                best: dict[str, tuple[int, int, int]] = {}
+                for m in (m for p in parts for m in p["matches"]):
+                    _better(best, m["item_id"], (m["doc_word"], m["item_word"], m["n_words"]))
+                n_words.append(parts[0]["n_words"])
+                out.append((ranges, best))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.StructArray.from_arrays(_result(n_words, out), list(_TYPES))], ["key", "found"])
+
+    key = found.schema["key"]
+    # rows that repeat find the same, so a key has one row a block; one row at most holds a text's finds of all blocks
+    parts = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("block", "n_words", "ranges", "matches"))).alias("parts"))
+    return parts.mapInArrow(part, T.StructType([key, T.StructField("found", RESULT)]))
+
+
 def _searched(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, shard_words: int, unnamed: bool, *replaced: str) -> DataFrame:
     """row (the columns of ``docs`` but for ``replaced``), n_words, n_hit, items, matches."""
     need(docs, "doc_id", "text")
     need(benchmark, "item_id", "text")
-    spark = docs.sparkSession
-    out = docs.select(packed(docs, *replaced))
-    row = out.schema.fields
-    match = pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())])
-    types = {"n_words": pa.int64(), "ranges": pa.list_(pa.int32()), "items": pa.list_(pa.string()), "matches": pa.list_(match)}
-
-    written = None
-    for block, last in _blocks(benchmark, block_bytes, unnamed):
-        index = spark.sparkContext.broadcast(block)
-
-        def part(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            tests = _index(index, width)
-            for batch in batches:
-                lengths = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("row").field("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-                for k in np.unique(lengths // (6 * shard_words)):
-                    a, b = np.searchsorted(lengths // (6 * shard_words), [k, k + 1])
-                    rows = batch.slice(a, b - a)
-                    split = [words(t.as_py()) for t in rows.column("row").field("text")]
-                    found = _shard(tests, split)
-                    before = rows.select(list(types)).to_pylist() if "ranges" in rows.schema.names else [None] * len(split)
-                    made: dict[str, list] = {c: [] for c in types}
-                    for x, (ranges, best), old in zip(split, found, before, strict=True):
-                        if old:
-                            ranges = _merge(np.vstack([ranges, np.array(old["ranges"], np.int64).reshape(-1, 2)]))
-                            for m in old["matches"]:
-                                if m["n_words"] > best.get(m["item_id"], (0, 0, 0))[2]:
-                                    best[m["item_id"]] = (m["doc_word"], m["item_word"], m["n_words"])
-                        made["n_words"].append(len(x))
-                        made["ranges"].append(ranges.ravel().tolist())
-                        made["items"].append(sorted(best))
-                        made["matches"].append([dict(zip(("item_id", "doc_word", "item_word", "n_words"), (i, *best[i]), strict=True)) for i in sorted(best)])
-                    yield pa.RecordBatch.from_arrays([rows.column("row"), *(pa.array(made[c], t) for c, t in types.items())], ["row", *types])
-
-        out = out.mapInArrow(part, T.StructType([*row, *RESULT]))
-        if not last:  # one index at a time: the next pass reads what this one found
-            before, written = written, table(out, "contamination")
-            out = written
-            index.destroy()
-            release(before)
+    text = column("text").cast("string")
+    rows, written = docs.select(packed(docs, *replaced), text.alias("text")), []
+    for k, (block, last) in enumerate(_blocks(benchmark, block_bytes, unnamed)):
+        if last and not written:
+            out = _pass(rows, block, width, shard_words, False)
+            break
+        # of several blocks each writes its hits alone, so that one index is alive at a time and no text is written
+        keyed = docs.select(F.struct(*row_key(text)).alias("key"), text.alias("text")).where(F.col("text").isNotNull())
+        hits = _pass(keyed, block, width, shard_words, True).dropDuplicates(["key"]).withColumn("block", F.lit(k))
+        written.append(table(hits, "contamination"))
+    else:
+        known = table(_together(reduce(DataFrame.unionByName, written)), "contamination-hits")
+        release(*written)
+        n_words = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+        keyed = rows.select("row", n_words.alias("own"), F.struct(*row_key(F.col("text"))).alias("key"))
+        none = F.array().cast("array<int>"), F.array().cast("array<string>"), F.array().cast(T.ArrayType(MATCH))
+        out = meet(keyed, known, "key").select("row", F.col("own").alias("n_words"), *(F.coalesce(F.col("found")[c], empty).alias(c) for c, empty in zip(("ranges", "items", "matches"), none, strict=True)))
     hit = F.aggregate(F.transform("ranges", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
     return out.select("row", "n_words", hit.alias("n_hit"), "items", "matches")
 
@@ -222,7 +263,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, b
 
     A window is ``width`` consecutive words of an item of ``benchmark`` (item_id, text), or a whole shorter item with
     a word. ``n_hit`` counts a text's words inside any occurrence; ``items`` has the ids (as text, sorted) of items with
-    one; ``matches`` has the longest verbatim match of each such item, with its place in the text and in the item.
+    one; ``matches`` has the longest verbatim match of each such item (the first in the text
+    of equal ones), with its place in the text and in the item.
 
     A null text has no words. Items without a text are left out, and those without an id unless ``unnamed``: then they
     count in ``n_hit`` alone. Items that repeat an id count as one. Rows of ``docs`` that repeat or have no id are judged one

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let, starts
 from ..functions.text import alias_pattern, ascii_words, cookie_boilerplate, markdown_text, sentences
 from .dataset import numbered
 
@@ -77,16 +78,15 @@ def match(sents: DataFrame, tokens: DataFrame, keys: list[str], text: str = "sen
 
 
 def spans(text: Column, pattern: Column) -> Column:
-    """Array of (start, end) of a pattern's matches: the lengths of pieces and matches add up to them."""
+    """Array of (start, end) of a pattern's matches: the lengths of pieces and matches add up to them, in time that is linear in the matches."""
     parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    pairs = F.filter(F.arrays_zip(F.transform(parts, F.length).alias("p"), F.transform(found, F.length).alias("m")), lambda x: x["m"].isNotNull())
 
-    def step(acc: Column, x: Column) -> Column:
-        a = acc["at"] + F.length(x["p"])
-        b = a + F.coalesce(F.length(x["m"]), F.lit(0))
-        return F.struct(b.alias("at"), F.when(x["m"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], F.struct(a.alias("start"), b.alias("end")))).alias("out"))
+    def placed(steps: Column) -> Column:
+        at = starts(F.transform(steps, lambda x: x["p"] + x["m"]))
+        return F.zip_with(steps, at, lambda x, a: F.struct((a + x["p"]).cast("int").alias("start"), (a + x["p"] + x["m"]).cast("int").alias("end")))
 
-    return F.aggregate(F.arrays_zip(parts.alias("p"), found.alias("m")), zero, step, lambda acc: acc["out"])
+    return let(pairs, placed)
 
 
 def span_text(s: Column) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,8 +67,75 @@ def merge_index(target: DataFrame, source: DataFrame, fields: Sequence[str]) ->
 
 
 def merge_indexes(indexes: Sequence[DataFrame], fields: Sequence[str]) -> DataFrame:
-    """Many indexes, folded from the left: filling blanks does not commute."""
-    return reduce(lambda a, b: merge_index(a, b, fields), indexes)
+    """Many indexes as ``merge_index`` would merge them one after the other: filling blanks does not commute.
+
+    All entries of a page meet in one shuffle and are folded in the order of their indexes.
+    """
+    cols = ["md_done", "llm_done", *fields]
+    marked = [df.select("company_id", "url", F.struct(F.lit(k).alias("_src"), *(F.col(f"`{c}`") for c in cols)).alias("_e")) for k, df in enumerate(indexes)]
+    grouped = reduce(DataFrame.unionByName, marked).groupBy("company_id", "url").agg(F.array_sort(F.collect_list("_e")).alias("_all"))
+    score = lambda e: 2 * e["llm_done"].cast("int") + e["md_done"].cast("int")
+
+    def step(acc: Column, e: Column) -> Column:
+        whole, fill = F.coalesce(score(e) > score(acc), F.lit(False)), F.coalesce(score(e) == score(acc), F.lit(False))
+        pick = lambda c: F.when(whole | (fill & (F.coalesce(acc[c].cast("string"), F.lit("")) == "")), e[c]).otherwise(acc[c])
+        return F.struct(acc["_src"].alias("_src"), *(pick(c).alias(c) for c in cols))
+
+    folded = grouped.select("company_id", "url", F.aggregate(F.slice("_all", F.lit(2), F.size("_all")), F.col("_all")[0], step).alias("_e"))
+    return folded.select("company_id", "url", *(F.col("_e")[c].alias(c) for c in cols))
+
+
+@dataclass(frozen=True)
+class Root:
+    """The tables of a run root; None where it has none.
+
+    companies: company_id, status, updated_at. runs: run_id. done: run_id, company_id. retry: company_id, updated_at, attempts. quarantine: company_id, ts.
+    index: company_id, url, md_done, llm_done. ledger: any columns. Other columns go along.
+    """
+
+    companies: DataFrame | None = None
+    runs: DataFrame | None = None
+    done: DataFrame | None = None
+    retry: DataFrame | None = None
+    quarantine: DataFrame | None = None
+    index: DataFrame | None = None
+    ledger: DataFrame | None = None
+
+
+def merge_roots(target: Root, sources: Sequence[Root], fields: Sequence[str], include_ledger: bool = False) -> Root:
+    """The roots' tables merged into the target's, as if one source came after the other. Each table takes one shuffle, however many roots there are.
+
+    Companies: the further status, then the newer row, then the earlier root. Runs and done rows: the first of a key. Retry states: the newer, then that with more
+    attempts, then the earlier root; quarantine: the newer, then the later root. Index entries are folded in order (``merge_indexes``). Ledger lines
+    are appended with the number of their root in ``root`` if ``include_ledger``, else the target's stay alone.
+    """
+    if not sources:
+        raise ValueError("a merge needs at least one source")
+    roots = [target, *sources]
+
+    def merged(table: str, how: Callable[[list[DataFrame]], DataFrame]) -> DataFrame | None:
+        tables = [df for r in roots if (df := getattr(r, table)) is not None]
+        return how(tables) if tables else None
+
+    status = [rank(F.col("status"), MERGE_RANK).desc(), epoch_seconds(F.col("updated_at")).desc_nulls_last()]
+    lines = [r.ledger.withColumn("root", F.lit(k)) for k, r in enumerate(roots) if r.ledger is not None and (include_ledger or k == 0)]
+    return Root(
+        companies=merged("companies", lambda x: best_rows(x, ["company_id"], status)),
+        runs=merged("runs", lambda x: best_rows(x, ["run_id"], [])),
+        done=merged("done", lambda x: best_rows(x, ["run_id", "company_id"], [])),
+        retry=merged("retry", lambda x: best_rows(x, ["company_id"], [F.col("updated_at").desc_nulls_last(), F.col("attempts").desc_nulls_last()])),
+        quarantine=merged("quarantine", lambda x: best_rows(x, ["company_id"], [F.col("ts").desc_nulls_last()], later_wins=True)),
+        index=merged("index", lambda x: merge_indexes(x, fields)),
+        ledger=reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lines) if lines else None,
+    )
+
+
+def merge_report(sources: Sequence[Root]) -> DataFrame:
+    """One row: merged_company_ids, the distinct companies of the sources, and ledger_lines, the lines that they bring."""
+    ids = [r.companies.select(F.col("company_id").cast("string").alias("id")) for r in sources if r.companies is not None]
+    lines = [r.ledger.select(F.lit(None).cast("string").alias("id")) for r in sources if r.ledger is not None]
+    both = reduce(DataFrame.unionByName, [*(x.distinct().withColumn("line", F.lit(0)) for x in ids), *(x.withColumn("line", F.lit(1)) for x in lines)])
+    return both.groupBy("id").agg(F.sum("line").alias("lines")).agg(F.count("id").alias("merged_company_ids"), F.coalesce(F.sum("lines"), F.lit(0)).alias("ledger_lines"))
 
 
 def split_root(companies: DataFrame, dataset_ids: DataFrame, chosen: DataFrame | None = None, not_done: bool = True) -> tuple[DataFrame, DataFrame]:

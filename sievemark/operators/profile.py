@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.text import clean_ws, descriptiveness, has_evidence, norm_name, norm_type
 from ..functions.binding import let
+from ..functions.text import clean_ws, descriptiveness, has_evidence, norm_name, norm_type, profile_sentences
 from ..functions.vectors import dot, norm
+from ..shared import release, table
 
 
 def clean_mentions(mentions: DataFrame, pages: DataFrame) -> DataFrame:
@@ -70,20 +74,21 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, most: int = 60)
 
     Labels fall to the least label next to them and then to their label's label, until none changes, so a path of n nodes takes about log n rounds.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    state = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
+    both = table(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "component-edges")
+    state, written = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), None
     for _ in range(most):
         near = both.join(state.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         low = state.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
         jump = low.select(F.col("node").alias("low"), F.col("low").alias("far"))
         new = low.join(jump, "low", "left").select("node", F.least("low", F.coalesce("far", "low")).alias("label"), (F.least("low", F.coalesce("far", "low")) != F.col("label")).alias("moved"))
-        new = new.checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else new.persist(StorageLevel.MEMORY_AND_DISK)
-        if new.where("moved").isEmpty():
-            state = new.select("node", "label")
+        before, written = written, table(new, "component-labels")
+        release(before)
+        state = written.select("node", "label")
+        if written.where("moved").isEmpty():
             break
-        state = new.select("node", "label")
     else:
         raise RuntimeError(f"components did not settle in {most} rounds")
+    release(both)
     if nodes is None:
         return state
     return nodes.select("node").distinct().join(state, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
@@ -106,11 +111,52 @@ def canonical_offerings(clustered: DataFrame) -> DataFrame:
     return rows.withColumn("aliases", F.array_except("names", F.array("best"))).withColumn("offering_id", offering_id(F.col("company_id"), F.col("type"), F.lower("best"))).drop("names")
 
 
-def distinct_sentences(items: Column, least: float = 0.90, most: int = 8) -> Column:
-    """Of (text, embedding) pairs in order, those whose cosine to every one kept before is below ``least``, ``most`` at the most."""
-    zero = F.filter(items, lambda x: F.lit(False))
-    step = lambda acc, x: F.when((F.size(acc) >= most) | F.exists(acc, lambda k: cosine(k["embedding"], x["embedding"]) >= least), acc).otherwise(F.array_append(acc, x))
-    return F.transform(F.aggregate(items, zero, step), lambda x: x["text"])
+def distinct_sentences(sentences: DataFrame, by: list[str], order: list[str], embedder: Callable[[list[str]], list[list[float]]], least: float = 0.90, most: int = 8) -> DataFrame:
+    """by, sentences: of each group's sentences (by, order, sentence) those, in order, whose cosine to every one kept before is below ``least``, ``most`` at the most.
+
+    Of sentences that differ in case alone the first counts. Equal texts are embedded once and joined back by text. A group passes by its vectors in
+    order and holds those it keeps, so it is never put together, however large; an empty one has no row.
+    """
+    low = F.lower("sentence")
+    first = sentences.where(F.coalesce(F.col("sentence"), F.lit("")) != "").groupBy(*by, low.alias("_low")).agg(F.min(F.struct(*order, "sentence")).alias("_f")).select(*by, "_f.*")
+    known = table(embed_texts(first, "sentence", embedder), "sentence-vectors")  # a model is asked once
+    rows = first.join(known, "sentence").repartition(*by).sortWithinPartitions(*by, *order, "sentence")
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept, said = None, [], []
+        for batch in batches:
+            done = []
+            vectors = batch.column("embedding")
+            for i, (*own, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (*by, "sentence")), strict=True)):
+                if own != key:
+                    done += [(key, said)] if key is not None else []
+                    key, kept, said = own, [], []
+                if len(said) < most:
+                    v = np.asarray(vectors[i].values, float)
+                    norm = np.linalg.norm(v)
+                    v = v / norm if norm else v
+                    if not any(float(v @ k) >= least for k in kept):
+                        kept.append(v)
+                        said.append(text)
+            yield built(done)
+        if key is not None:
+            yield built([(key, said)])
+
+    fields = [*(first.schema[c] for c in by), T.StructField("sentences", T.ArrayType(T.StringType()))]
+    arrow = to_arrow_schema(T.StructType(fields))
+
+    def built(done: list[tuple[list, list[str]]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(by, k, strict=True)) | {"sentences": x} for k, x in done], schema=arrow)
+
+    return rows.mapInArrow(part, T.StructType(fields))
+
+
+def described_offerings(clustered: DataFrame, embedder: Callable[[list[str]], list[list[float]]], order: list[str], least: float = 0.90, most: int = 8) -> DataFrame:
+    """``canonical_offerings`` whose descriptions are the distinct sentences of the cluster's, in the order of its mentions by ``order``."""
+    by = ["company_id", "type", "cluster"]
+    said = clustered.select(*by, *order, F.posexplode(profile_sentences(F.coalesce("description", F.lit("")))).alias("_pos", "sentence"))
+    kept = distinct_sentences(said, by, [*order, "_pos"], embedder, least, most)
+    return canonical_offerings(clustered).drop("descriptions").join(kept, by, "left").withColumn("descriptions", F.coalesce("sentences", F.array().cast("array<string>"))).drop("sentences")
 
 
 def offering_text(best: Column, aliases: Column, kind: Column, descriptions: Column) -> Column:

@@ -108,6 +108,27 @@ def _mentions(t):
     return t("part").select((F.col("p_partkey") % 40).alias("company_id"), F.when(F.col("p_size") % 2 == 0, "product").otherwise("service").alias("type"), F.col("p_brand").alias("cluster"), F.col("p_name").alias("name"), F.lit("u").alias("source_url"), F.lit("").alias("description"))
 
 
+_LETTERS = "etanoirs"
+
+
+def _letters(texts: list[str]) -> list[list[float]]:
+    """A stand-in for a model that SQL can say as well: counts of some letters."""
+    return [[float(x.lower().count(c)) for c in _LETTERS] for x in texts]
+
+
+@C.query("offering_descriptions", rf"""WITH RECURSIVE c AS (SELECT conv_id AS company_id, role AS type, turn, list_filter(list_transform(flatten(list_transform(regexp_split_to_array(regexp_replace(trim(text), '\s+', ' ', 'g'), '(?:\n|\r|•|\*|- )+'),
+  lambda x: string_split(regexp_replace(trim(x), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)))), lambda x: trim(x)), lambda x: x <> '') AS s FROM conversations),
+u AS (SELECT company_id, type, turn, generate_subscripts(s, 1) AS pos, unnest(s) AS s FROM c), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id, type, lower(s) ORDER BY turn, pos) AS k FROM u) WHERE k = 1),
+o AS (SELECT company_id, type, s, row_number() OVER (PARTITION BY company_id, type ORDER BY turn, pos) AS i, [{", ".join(f"(length(s) - length(replace(lower(s), '{c}', '')))::DOUBLE" for c in _LETTERS)}] AS v FROM f),
+g AS (SELECT company_id, type, 1::BIGINT AS i, [s] AS said, [v] AS kept FROM o WHERE i = 1 UNION ALL
+  SELECT o.company_id, o.type, o.i, CASE WHEN keep THEN list_append(said, s) ELSE said END, CASE WHEN keep THEN list_append(kept, v) ELSE kept END
+  FROM (SELECT o.company_id, o.type, o.i, o.s, o.v, g.said, g.kept, len(g.said) < 8 AND len(list_filter(g.kept, lambda k: coalesce(nullif(list_cosine_similarity(k, o.v), 'nan'::DOUBLE), 0) >= 0.9)) = 0 AS keep FROM g JOIN o ON o.company_id = g.company_id AND o.type = g.type AND o.i = g.i + 1) o)
+SELECT company_id, type, array_to_string(arg_max(said, i), ' | ') AS sentences FROM g GROUP BY 1, 2""")
+def offering_descriptions(t):
+    rows = t("conversations").select(F.col("conv_id").alias("company_id"), F.col("role").alias("type"), F.lit(0).alias("cluster"), F.col("role").alias("name"), F.lit("u").alias("source_url"), F.col("text").alias("description"), "turn")
+    return profile.described_offerings(rows, _letters, ["turn"]).select("company_id", "type", F.array_join("descriptions", " | ").alias("sentences"))
+
+
 @C.query("embed_outputs", _MENTIONS + r""", o AS (SELECT company_id, type, cluster, max(name) FILTER (n = 1) AS best, list_sort(list(DISTINCT name)) AS names FROM k GROUP BY 1, 2, 3),
 e AS (SELECT company_id, 'offering' AS kind, type, best, 'off_' || substr(sha1(CAST(company_id AS VARCHAR) || '|' || type || '|' || lower(best)), 1, 16) AS id, best || CASE WHEN len(names) > 1 THEN chr(10) || 'Aliases: ' || array_to_string(list_filter(names, lambda x: x <> best), ', ') ELSE '' END || chr(10) || 'Type: ' || type AS text FROM o),
 s AS (SELECT company_id, type, string_agg('- **' || best || '**', chr(10) ORDER BY best) AS lines FROM o GROUP BY 1, 2),

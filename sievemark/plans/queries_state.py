@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import calibrate, merge, state
@@ -164,6 +166,67 @@ def replace_rows(t):
     return merge.replace_rows(*_rows(t), ["company_id"]).select("company_id", "status", "src")
 
 
+#: Rows of three roots: rank of the status, number of attempts, time, and the root.
+_ROOTS = """k AS (SELECT c_custkey AS id, c_acctbal, c_mktsegment AS seg, c_custkey % 3 AS a, c_custkey % 2 AS b, c_custkey % 4 AS c, c_custkey % 10 AS ua, c_custkey % 7 AS ub, c_custkey % 5 AS uc FROM customer),
+r0 AS (SELECT id, CASE a WHEN 0 THEN 'llm_done' WHEN 1 THEN 'terminal_done' ELSE 'pending' END AS status, ua AS u, 'r0' AS src FROM k WHERE c_acctbal > 0),
+r1 AS (SELECT id, CASE b WHEN 0 THEN 'llm_done' ELSE 'pending' END AS status, ub AS u, 'r1' AS src FROM k WHERE seg <> 'BUILDING'), r2 AS (SELECT id, CASE c WHEN 0 THEN 'pending' ELSE 'terminal_done' END AS status, uc AS u, 'r2' AS src FROM k WHERE seg <> 'MACHINERY')"""
+_BETTER = {
+    "company": "CASE y.status WHEN 'pending' THEN 0 WHEN 'llm_done' THEN 4 ELSE 5 END > CASE x.status WHEN 'pending' THEN 0 WHEN 'llm_done' THEN 4 ELSE 5 END OR y.status = x.status AND y.u > x.u",
+    "retry": "y.u > x.u OR y.u = x.u AND length(y.status) > length(x.status)", "quarantine": "y.u >= x.u", "run": "FALSE",
+}
+
+
+def _after_each_other(kind: str) -> str:
+    """The three roots merged one after the other, by the rule of a table."""
+    pair = lambda x, y: f"SELECT coalesce(x.id, y.id) AS id, CASE WHEN x.id IS NULL OR y.id IS NOT NULL AND ({_BETTER[kind]}) THEN y.status ELSE x.status END AS status, CASE WHEN x.id IS NULL OR y.id IS NOT NULL AND ({_BETTER[kind]}) THEN y.u ELSE x.u END AS u, CASE WHEN x.id IS NULL OR y.id IS NOT NULL AND ({_BETTER[kind]}) THEN y.src ELSE x.src END AS src FROM {x} x FULL JOIN {y} y ON x.id = y.id"
+    return f"SELECT '{kind}' AS kind, CAST(id AS BIGINT) AS id, src FROM ({pair('(' + pair('r0', 'r1') + ')', 'r2')})"
+
+
+def _run_roots(t):
+    c, k, seg = t("customer"), F.col("c_custkey"), F.col("c_mktsegment")
+    sides = [
+        (c.where("c_acctbal > 0"), F.when(k % 3 == 0, "llm_done").when(k % 3 == 1, "terminal_done").otherwise("pending"), k % 10), (c.where(seg != "BUILDING"), F.when(k % 2 == 0, "llm_done").otherwise("pending"), k % 7),
+        (c.where(seg != "MACHINERY"), F.when(k % 4 == 0, "pending").otherwise("terminal_done"), k % 5),
+    ]
+    out = []
+    for i, (rows, status, u) in enumerate(sides):
+        rows = rows.select(k.alias("company_id"), k.alias("run_id"), status.alias("status"), u.cast("string").alias("updated_at"), F.length(status).alias("attempts"), u.alias("ts"), F.lit(f"r{i}").alias("src"))
+        out.append(merge.Root(rows.select("company_id", "status", "updated_at", "src"), rows.select("run_id", "src"), rows.select("run_id", "company_id", "src"), rows.select("company_id", "updated_at", "attempts", "src"), rows.select("company_id", "ts", "src"), ledger=rows.select("company_id", "src")))
+    return out
+
+
+@C.query("merge_run_roots", f"WITH {_ROOTS} {' UNION ALL '.join(map(_after_each_other, _BETTER))} UNION ALL SELECT 'done', id, src FROM ({_after_each_other('run')}) UNION ALL SELECT 'ledger', id, src FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2)")
+def merge_run_roots(t):
+    target, *sources = _run_roots(t)
+    out = merge.merge_roots(target, sources, [], include_ledger=True)
+    pick = lambda df, kind, key="company_id": df.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), "src")
+    parts = [pick(out.companies, "company"), pick(out.retry, "retry"), pick(out.quarantine, "quarantine"), pick(out.runs, "run", "run_id"), pick(out.done, "done"), pick(out.ledger, "ledger")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@C.query("merge_report", f"WITH {_ROOTS}, s AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2) SELECT count(DISTINCT id) AS merged_company_ids, count(*) AS ledger_lines FROM s")
+def merge_report(t):
+    return merge.merge_report(_run_roots(t)[1:])
+
+
+def _index_step(x: str, y: str) -> str:
+    whole = "(x.url IS NULL OR coalesce(2 * CAST(y.llm_done AS INT) + CAST(y.md_done AS INT) > 2 * CAST(x.llm_done AS INT) + CAST(x.md_done AS INT), FALSE))"
+    fill = "coalesce(2 * CAST(y.llm_done AS INT) + CAST(y.md_done AS INT) = 2 * CAST(x.llm_done AS INT) + CAST(x.md_done AS INT), FALSE)"
+    pick = lambda c: f"CASE WHEN {whole} OR {fill} AND coalesce(CAST(x.{c} AS VARCHAR), '') = '' THEN y.{c} ELSE x.{c} END AS {c}"
+    return f"SELECT coalesce(x.company_id, y.company_id) AS company_id, coalesce(x.url, y.url) AS url, {pick('md_done')}, {pick('llm_done')}, {pick('path')}, {pick('note')} FROM {x} x FULL JOIN {y} y ON x.company_id = y.company_id AND x.url = y.url"
+
+
+@C.query("merge_run_indexes", f"""{_DONE}, r AS (SELECT company_id, url, status, md_done, llm_done, coalesce(path, '') AS path FROM d), a AS (SELECT company_id, url, md_done, llm_done, path, '' AS note FROM r WHERE coalesce(status, '') <> 'timeout'),
+b AS (SELECT company_id, url, md_done OR ends_with(path, '7') AS md_done, llm_done OR ends_with(path, '7') AS llm_done, 's' || path AS path, CASE WHEN length(path) % 2 = 0 THEN 'b' ELSE '' END AS note FROM r WHERE path <> '' OR llm_done),
+c AS (SELECT company_id, url, md_done, NOT llm_done AS llm_done, CASE WHEN ends_with(path, '3') THEN 'c' || path ELSE '' END AS path, 'c' AS note FROM r WHERE coalesce(status, '') <> 'ok' OR md_done) {_index_step('(' + _index_step('a', 'b') + ')', 'c')}""")
+def merge_run_indexes(t):
+    left, right = _sides(t)
+    rows = _done(t).select("company_id", "url", "status", "md_done", "llm_done", F.coalesce("path", F.lit("")).alias("path"))
+    third = rows.where((F.coalesce("status", F.lit("")) != "ok") | F.col("md_done")).select("company_id", "url", "md_done", (~F.col("llm_done")).alias("llm_done"), F.when(F.col("path").endswith("3"), F.concat(F.lit("c"), "path")).otherwise("").alias("path"), F.lit("c").alias("note"))
+    note = F.when((F.length("path") - 1) % 2 == 0, "b").otherwise("")
+    return merge.merge_indexes([left.withColumn("note", F.lit("")), right.withColumn("note", note), third], ["path", "note"])
+
+
 @C.query("split_root", f"WITH {_ROWS} SELECT company_id, CASE WHEN company_id IN (SELECT company_id FROM b) AND status NOT IN ('llm_done', 'terminal_done') THEN 'moved' ELSE 'stays' END AS side FROM a")
 def split_root(t):
     a, b = _rows(t)

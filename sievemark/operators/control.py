@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .retry import STREAK_GOTO, classify, epochs, failures
 
 MAX_FORCED, COOLDOWN = 3, 60.0
+FORCE_REASON = "scheduler_force_ready"
 CLEARS = ("success", "unquarantine")
 CANCELS = ("scheduler_cancel", "cancelled", "cancel")
 
@@ -46,25 +47,26 @@ def control_state(ledger: DataFrame) -> DataFrame:
 def force_ready(states: DataFrame, forces: DataFrame, most: int = MAX_FORCED, cooldown: float = COOLDOWN, ignore_quarantine: bool = False) -> DataFrame:
     """``states`` (company_id, next_eligible_at, quarantine) after forces (company_id, ord, ts, reason), with hits and last_forced.
 
-    A force counts if the one that counted before it is ``cooldown`` seconds away. The first ``most`` make the company eligible at once, and
-    one more puts it in quarantine, after which none counts. So ``most + 1`` sums find them all, each one by company and
+    A force counts if the one that counted before it is ``cooldown`` seconds away. The first ``most`` make the company eligible at once; one more
+    puts it in quarantine and leaves it eligible from the force before, and after that none counts. So ``most + 1`` sums find them all, each one by company and
     added up before its shuffle, however many forces a company has. A company without a state, or (unless ignored) in quarantine, is not touched.
     """
     who = states.select("company_id", "quarantine")
     live = forces.join(who if ignore_quarantine else who.where(F.col("quarantine").isNull()), "company_id").select("company_id", "ord", "ts", "reason")
-    done = states.select("company_id", F.lit(0).alias("hits"), F.lit(0.0).alias("last_forced"), F.lit(-1).cast("long").alias("at"), F.lit(None).cast("string").alias("why"))
+    none = F.lit(None)
+    done = states.select("company_id", F.lit(0).alias("hits"), F.lit(0.0).alias("last_forced"), F.lit(-1).cast("long").alias("at"), none.cast("string").alias("why"), none.cast("double").alias("ready"))
     for _ in range(most + 1):
         fits = live.join(done, "company_id").where((F.col("ord") > F.col("at")) & ((F.lit(cooldown) <= 0) | (F.col("ts") - F.col("last_forced") >= cooldown)))
         first = fits.groupBy("company_id").agg(F.min(F.struct("ord", "ts", "reason")).alias("f"))
+        again = F.col("f").isNotNull()
         done = done.join(first, "company_id", "left").select(
-            "company_id", (F.col("hits") + F.col("f").isNotNull().cast("int")).alias("hits"), F.coalesce("f.ts", "last_forced").alias("last_forced"), F.coalesce("f.ord", "at").alias("at"), F.coalesce("f.reason", "why").alias("why")
+            "company_id", (F.col("hits") + again.cast("int")).alias("hits"), F.coalesce("f.ts", "last_forced").alias("last_forced"), F.coalesce("f.ord", "at").alias("at"),
+            F.when(again, F.col("f.reason")).otherwise(F.col("why")).alias("why"), F.when(again & (F.col("hits") < most), F.col("f.ts")).otherwise(F.col("ready")).alias("ready"),
         )
-    over = F.col("hits") > most
-    # what the last force that made it eligible set is kept where one more went over
-    eligible = done.select("company_id", "hits", "last_forced", F.when(over, F.concat(F.lit("force_ready_hits_exceeded hits="), F.col("hits"), F.lit(f" max={most}: "), F.coalesce("why", F.lit("")))).alias("exceeded"))
-    out = states.join(eligible, "company_id", "left")
-    ready = F.when(F.col("exceeded").isNull() & (F.col("hits") > 0), F.col("last_forced")).otherwise(F.col("next_eligible_at"))
-    return out.withColumn("next_eligible_at", ready).withColumn("quarantine", F.coalesce("exceeded", "quarantine")).drop("exceeded")
+    why = F.coalesce(F.nullif(F.col("why"), F.lit("")), F.lit(FORCE_REASON))
+    exceeded = F.when(F.col("hits") > most, F.concat(F.lit("force_ready_hits_exceeded hits="), F.col("hits"), F.lit(f" max={most}: "), why))
+    out = states.join(done.select("company_id", "hits", "last_forced", "ready", exceeded.alias("exceeded")), "company_id", "left")
+    return out.withColumn("next_eligible_at", F.coalesce("ready", "next_eligible_at")).withColumn("quarantine", F.coalesce("exceeded", "quarantine")).drop("exceeded", "ready")
 
 
 def terminalization(md_done: Column, action: Column, reason: Column, attempt: Column, failure: Column) -> Column:

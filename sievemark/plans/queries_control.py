@@ -41,15 +41,15 @@ def control_state(t):
     """WITH RECURSIVE f AS (SELECT user_id AS company_id, event_id AS ord, CAST(floor(epoch(ts)) AS DOUBLE) AS ts FROM events WHERE event_type IN ('click', 'error')), s AS (SELECT DISTINCT user_id AS company_id, CASE WHEN user_id % 11 = 0 THEN 'held' END AS quarantine FROM events),
 w AS (SELECT company_id, 0 AS hits, 0.0::DOUBLE AS last, CAST(-1 AS BIGINT) AS at FROM s WHERE quarantine IS NULL
   UNION ALL SELECT company_id, hits + 1, n.ts, n.ord FROM (SELECT w.company_id, w.hits, min({'ord': f.ord, 'ts': f.ts}) AS n FROM w JOIN f ON f.company_id = w.company_id AND f.ord > w.at AND f.ts - w.last >= 86400 WHERE w.hits < 4 GROUP BY 1, 2)),
-g AS (SELECT company_id, max(hits) AS hits, arg_max(last, hits) AS last FROM w GROUP BY 1)
-SELECT s.company_id, CAST(coalesce(hits, 0) AS INT) AS hits, CASE WHEN hits BETWEEN 1 AND 3 THEN last ELSE 5e9 END AS next_eligible_at, coalesce(CASE WHEN hits > 3 THEN 'exceeded' END, quarantine) AS quarantine FROM s LEFT JOIN g ON g.company_id = s.company_id""",
+g AS (SELECT company_id, max(hits) AS hits, arg_max(last, hits) FILTER (hits BETWEEN 1 AND 3) AS last FROM w GROUP BY 1)
+SELECT s.company_id, CAST(coalesce(hits, 0) AS INT) AS hits, coalesce(last, 5e9) AS next_eligible_at, coalesce(CASE WHEN hits > 3 THEN 'force_ready_hits_exceeded hits=4 max=3: idle' END, quarantine) AS quarantine FROM s LEFT JOIN g ON g.company_id = s.company_id""",
 )
 def force_ready(t):
     e = t("events")
     states = e.select(F.col("user_id").alias("company_id"), F.lit(5e9).alias("next_eligible_at"), F.when(F.col("user_id") % 11 == 0, "held").alias("quarantine")).distinct()
     forces = e.where("event_type in ('click', 'error')").select(F.col("user_id").alias("company_id"), F.col("event_id").alias("ord"), F.unix_timestamp("ts").cast("double").alias("ts"), F.lit("idle").alias("reason"))
     out = control.force_ready(states, forces, cooldown=86400.0)
-    return out.select("company_id", "hits", "next_eligible_at", F.when(F.col("quarantine").startswith("force_ready_hits_exceeded"), "exceeded").otherwise(F.col("quarantine")).alias("quarantine"))
+    return out.select("company_id", "hits", "next_eligible_at", "quarantine")
 
 
 _ACTION = "CASE event_id % 5 WHEN 0 THEN 'terminal' WHEN 1 THEN 'mem' WHEN 2 THEN 'stall' END"

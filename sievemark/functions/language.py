@@ -41,3 +41,13 @@ def any_of(patterns: Iterable[str]) -> str:
     for p in kept:
         re.compile(p)
     return "|".join(f"(?:{p})" for p in kept) or NOTHING
+
+
+def interstitial_pattern(specs: DataFrame, langs: Sequence[str], key: str = "INTERSTITIAL_PATTERNS") -> str:
+    """The patterns of ``key`` of the languages in force as one, worked out when it is called, as the languages can change; tens of rows at most.
+
+    specs: lang, key, pos, term. Patterns keep their case; one that does not compile raises.
+    """
+    order = F.array_position(F.array(*map(F.lit, langs)), F.col("lang"))
+    rows = specs.where((F.col("key") == key) & F.col("lang").isin(*langs)).orderBy(order, "pos").select("term")
+    return any_of(r.term.strip() for r in rows.collect() if r.term)

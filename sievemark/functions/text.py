@@ -50,7 +50,7 @@ def word_count(c: Column) -> Column:
 
 
 def markdown_word_count(c: Column) -> Column:
-    return F.coalesce(F.regexp_count(c, F.lit(r"(?i)[a-z0-9’']+")), F.lit(0))
+    return F.coalesce(F.regexp_count(c, F.lit(r"[A-Za-z0-9’']+")), F.lit(0))
 
 
 def ascii_words(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import errors, gating, text, urls, vectors
+from ..functions import errors, gating, language, text, urls, vectors
 from ..operators import ingest, urlfilter
 from .base import Catalog
 
@@ -150,7 +150,7 @@ def llm_chunks(t):
 _NOTICES = ("", "We use cookies. Accept all cookies or change your cookie settings, see our cookie policy. ", "Terms of use, privacy policy, license, warranty, jurisdiction, perpetual, royalty-free. ", "Are you over 18? Age verification. ", "Please sign in. Members only, log in. ")
 _NOTICE_SQL = f"repeat([{', '.join(repr(x) for x in _NOTICES)}][1 + doc_id % 5], 1 + doc_id % 37)"
 _LONG_AGO = lambda pattern: pattern.replace("(?iU)", "(?i)").replace("'", "''")
-_DOMINANT = " ".join(f"WHEN total >= {gating.LEAST_TOTAL} AND len(regexp_extract_all(t, '{_LONG_AGO(p)}')) >= {hits} AND len(regexp_extract_all(t, '{_LONG_AGO(p)}')) / total::DOUBLE >= {share} THEN '{reason}'" for reason, p, hits, share, _ in gating.DOMINANT)
+_DOMINANT = " ".join(f"WHEN total >= {gating.LEAST_TOTAL} AND len(regexp_extract_all(t, '{_LONG_AGO(p)}')) >= {hits} AND len(regexp_extract_all(t, '{_LONG_AGO(p)}')) / total::DOUBLE >= {share} THEN '{reason}'" for _, reason, p, hits, share, _ in gating.DOMINANT)
 
 
 @C.query("md_gate", rf"""WITH d AS (SELECT doc_id, regexp_replace({_NOTICE_SQL} || text, '^\s+|\s+$', '', 'g') AS t FROM documents), w AS (SELECT *, len(regexp_extract_all(t, '(?i)[a-z0-9’'']+')) AS n, len(regexp_extract_all(t, '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+')) AS total,
@@ -161,6 +161,26 @@ def md_gate(t):
     return t("documents").select("doc_id", gating.gate(F.concat(notice, F.col("text"))).alias("g")).select("doc_id", "g.action", "g.reason")
 
 
+_SPECS = [("en", r"\bplease\b", 0), ("en", r"\bthe\b", 1), ("de", r"\bund\b", 0), ("de", r"\bein(e|en)?\b", 1), ("fr", r"\bles?\b", 0)]
+
+
+@C.query("gate_statistics", rf"""WITH l AS (SELECT DISTINCT lang FROM documents), d AS (SELECT doc_id, lang, regexp_replace({_NOTICE_SQL} || text, '^\s+|\s+$', '', 'g') AS t FROM documents),
+w AS (SELECT *, len(regexp_extract_all(t, '(?i)[a-z0-9’'']+')) AS n, len(regexp_extract_all(t, '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+')) AS total, regexp_matches(t, '(?m)^\s*#{{1,6}}\s+\S') OR regexp_matches(t, '(?m)^\s*[-*+]\s+\S') AS shaped FROM d),
+r AS (SELECT doc_id, total, n, CASE WHEN t = '' THEN 'empty' WHEN NOT shaped AND n < 30 THEN 'no-structure' WHEN n < 30 THEN 'too-short' {_DOMINANT} ELSE 'ok' END AS reason,
+  len(list_filter(regexp_extract_all(lower(t), '[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+'), lambda x: x IN ('please', 'the') OR lang = 'de' AND x IN ('und', 'ein', 'eine', 'einen'))) AS unknown FROM w WHERE lang IN ('en', 'de'))
+SELECT doc_id, reason, CASE WHEN reason IN ('empty', 'no-structure', 'too-short') THEN n ELSE total END::DOUBLE AS total_words, CASE reason WHEN 'cookie-dominant' THEN 1 WHEN 'legal-dominant' THEN 2 WHEN 'age-dominant' THEN 3 WHEN 'login-required' THEN 4 WHEN 'ok' THEN 0 END::DOUBLE AS kind,
+  CASE WHEN reason = 'ok' AND total >= 80 THEN unknown END::DOUBLE AS unknown_hits FROM r""")
+def gate_statistics(t):
+    notice = F.repeat(F.element_at(F.array(*map(F.lit, _NOTICES)), (F.col("doc_id") % 5 + 1).cast("int")), (1 + F.col("doc_id") % 37).cast("int"))
+    docs = t("documents")
+    specs = docs.sparkSession.createDataFrame([(lang, "INTERSTITIAL_PATTERNS", pos, term) for lang, term, pos in _SPECS], "lang string, key string, pos int, term string")
+    parts = []
+    for lang in ("en", "de"):
+        pattern = language.interstitial_pattern(specs, language.effective(lang, ["de", "fr"]))
+        parts.append(docs.where(F.col("lang") == lang).select("doc_id", gating.gate_statistics(F.concat(notice, F.col("text")), pattern).alias("g")))
+    return parts[0].unionByName(parts[1]).select("doc_id", "g.reason", F.col("g.stats")["total_words"].alias("total_words"), F.col("g.stats")["interstitial_kind"].alias("kind"), F.col("g.stats")["unknown_hits"].alias("unknown_hits"))
+
+
 _BM = """WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+|[぀-ゟ]+|[゠-ヿ]+|[一-鿿]+') AS w FROM documents),
 s AS (SELECT doc_id, len(w) AS n, {terms} FROM d) SELECT doc_id, round(0.7 * (1 - exp(-({pos}))) + 0.3 * exp(-({neg})), 6) AS score FROM s"""
 _TF = lambda k: f"CASE WHEN t{k} > 0 THEN ln(2.0::DOUBLE / (t{k} + 0.5) + 1) * t{k} * 2.2 / greatest(t{k} + 1.2 * (0.25 + 0.75 * n / 1000.0), 1e-9) ELSE 0.0 END"

@@ -24,12 +24,19 @@ def norm_type(c: Column) -> Column:
     return F.when(t.isin("product", "products"), "product").when(t.isin("service", "services"), "service").otherwise("unknown")
 
 
+# What is taken out of Markdown, in this order, and what comes in its place.
+MARKDOWN = (
+    (r"(?s)```.*?```", " "), (r"!\[[^\]]*\]\([^)]+\)", " "), (r"\[([^\]]+)\]\([^)]+\)", "$1"), (r"`([^`]+)`", "$1"), (r"(?m)^\s{0,3}#+\s+", ""), (r"(?m)^\s{0,3}[-*+]\s+", ""), (r"(?m)^\s{0,3}\d+\.\s+", ""), (r"<[^>]+>", " "),
+    (r"[ \t]+", " "), (r"\n{3,}", "\n\n"),
+)
+
+
 def markdown_text(c: Column) -> Column:
-    """Plain text of Markdown: no fences, images, link targets, code marks, heading and list marks or tags."""
+    """Plain text of Markdown: no fences, images, link targets, code marks, tags, or marks of headings, bullets and numbers at up to three spaces."""
     t = c
-    for pattern, to in ((r"(?s)```.*?```", " "), (r"!\[[^\]]*\]\([^)]*\)", " "), (r"\[([^\]]*)\]\([^)]*\)", "$1"), (r"`([^`]*)`", "$1"), (r"(?m)^\s{0,3}#{1,6}\s*", ""), (r"(?m)^\s*[-*+]\s+", ""), (r"<[^>]+>", " "), (r"[ \t]+", " ")):
+    for pattern, to in MARKDOWN:
         t = F.regexp_replace(t, pattern, to)
-    return F.trim(t)
+    return F.btrim(t, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def sentences(c: Column) -> Column:

@@ -39,13 +39,18 @@ def nice_match(t):
 
 def _plain(c: str) -> str:
     """The SQL of ``markdown_text``."""
-    for pattern, to in ((r"(?s)```.*?```", " "), (r"!\[[^\]]*\]\([^)]*\)", " "), (r"\[([^\]]*)\]\([^)]*\)", r"\1"), (r"`([^`]*)`", r"\1"), (r"(?m)^\s{0,3}#{1,6}\s*", ""), (r"(?m)^\s*[-*+]\s+", ""), (r"<[^>]+>", " "), (r"[ \t]+", " ")):
-        c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
-    return f"trim({c})"
+    for pattern, to in text.MARKDOWN:
+        c = f"regexp_replace({c}, '{pattern}', '{to.replace('$1', chr(92) + '1')}', 'g')"
+    return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
+
+
+#: Markdown that is put before a text, by its id; ``¶`` is a new line.
+_MARKS = ("# Head of it¶¶", "1. One item¶ 22. Two items¶¶- Three¶", "#tag stays.¶    - Deep stays.¶¶", "[A link](http://x) and `code` <b>bold</b> ![picture](q)¶¶¶¶", "Fence:¶```¶gone¶```¶   ## Sub head¶¶")
+_MARKED = f"replace([{', '.join(repr(m) for m in _MARKS)}][1 + doc_id % 5], '¶', chr(10)) || text"
 
 
 _MARKERS = ", ".join(f"'{m}'" for m in text.COOKIE_MARKERS)
-_SENTENCES = rf"""WITH b AS (SELECT source, doc_id, regexp_split_to_array(regexp_replace({_plain("text")}, '\r\n?', chr(10), 'g'), '\n\s*\n') AS blocks FROM documents WHERE text IS NOT NULL),
+_SENTENCES = rf"""WITH b AS (SELECT source, doc_id, regexp_split_to_array(regexp_replace({_plain(_MARKED)}, '\r\n?', chr(10), 'g'), '\n\s*\n') AS blocks FROM documents WHERE text IS NOT NULL),
 c AS (SELECT source, doc_id, generate_subscripts(blocks, 1) AS k, unnest(blocks) AS block FROM b),
 p AS (SELECT source, doc_id, k, string_split(regexp_replace(trim(regexp_replace(block, '\s+', ' ', 'g')), '([.!?])\s+([A-Z0-9"''])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts FROM c),
 s AS (SELECT source, doc_id, k, generate_subscripts(parts, 1) AS i, trim(unnest(parts)) AS sentence FROM p),
@@ -54,12 +59,17 @@ n AS (SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id
 
 @C.query("number_sentences", f"{_SENTENCES} SELECT source, sentence_id, doc_id, sentence, list_has_any(w, ['cookie', 'cookies']) AND list_has_any(w, [{_MARKERS}]) AS is_cookie FROM n")
 def number_sentences(t):
-    return match.number_sentences(t("documents"), "source", "doc_id", "text")
+    return match.number_sentences(_marked(t), "source", "doc_id", "text")
+
+
+def _marked(t):
+    mark = F.element_at(F.array(*map(F.lit, _MARKS)), (F.col("doc_id") % 5 + 1).cast("int"))
+    return t("documents").withColumn("text", F.concat(F.translate(mark, "¶", "\n"), "text"))
 
 
 @C.query("sentence_stats", f"{_SENTENCES} SELECT source, count(*) AS n, round(avg(len(w)), 6) AS mean_words, round(quantile_cont(len(w), 0.5), 6) AS median_words FROM n GROUP BY 1")
 def sentence_stats(t):
-    return match.sentence_stats(match.number_sentences(t("documents"), "source", "doc_id", "text"), "source")
+    return match.sentence_stats(match.number_sentences(_marked(t), "source", "doc_id", "text"), "source")
 
 
 @C.query("match_spans", r"""WITH p AS (SELECT conv_id, turn, regexp_split_to_array(text, '(?i)\bthe\b') AS parts FROM conversations),

@@ -36,13 +36,13 @@ def _text_columns(rows: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, *(F.col("m")[n].alias(n) for n in names))
 
 
-def read_csv(spark: SparkSession, path: Paths, sep: str = ",") -> DataFrame:
-    """Delimited text with a header; all values are text."""
-    return spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: Paths, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """Delimited text with a header; all values are text. A large file is read by many tasks, unless ``multi_line``, which allows line ends within quotes."""
+    return spark.read.csv(path, sep=sep, header=True, inferSchema=False, multiLine=multi_line, escape='"')
 
 
-def read_tsv(spark: SparkSession, path: Paths) -> DataFrame:
-    return read_csv(spark, path, "\t")
+def read_tsv(spark: SparkSession, path: Paths, multi_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, "\t", multi_line)
 
 
 def _json_lines(spark: SparkSession, path: Paths) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -55,18 +56,120 @@ def hashed_embedding(texts: list[str], size: int = 64) -> list[list[float]]:
 
 
 def similar_pairs(rows: DataFrame, block: list[str], key: str, vector: str, least: float = 0.94, tile: int = 4000) -> DataFrame:
-    """block, a, b, similarity of the pairs of rows in a block with a cosine of at least ``least``, by an equi-join on the block.
+    """block, a, b, similarity of the pairs of rows in a block with a cosine of at least ``least``; a < b. Vectors of other lengths, and of length zero, have no pairs.
 
-    Vectors are made of unit length once. A block of more than ``tile`` rows is cut: one side is dealt out over its parts and the other
-    goes to each of them, so that no task has all pairs of a large block.
+    A block of more than ``tile`` rows is cut into cells (``similarity_cells``) such that each pair meets in exactly one; a cell that cannot be cut is dealt out
+    in parts. Each group of at most two parts is compared by matrix products in a task.
+    """
+    cells = similarity_cells(rows, block, key, vector, least, tile)
+    parts = F.ceil(F.col("_c") / tile).cast("int")
+    own = F.pmod(F.xxhash64("_key", F.lit(7)), parts).cast("int")
+    # a row meets its own part and all others, each pair of parts as one group
+    groups = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.struct(F.least(k, F.col("_part")).alias("i"), F.greatest(k, F.col("_part")).alias("j")))
+    dealt = cells.withColumns({"_parts": parts, "_part": own}).withColumn("_g", F.explode(groups)).select(*block, "_cell", F.col("_g.i").alias("_i"), F.col("_g.j").alias("_j"), "_part", "_visits", "_key", "_unit")
+    dealt = dealt.repartition("_cell", "_i", "_j").sortWithinPartitions("_cell", "_i", "_j")
+    kept = [dealt.schema[c] for c in block]
+    out = T.StructType([*kept, T.StructField("_x", dealt.schema["_key"].dataType), T.StructField("_y", dealt.schema["_key"].dataType), T.StructField("similarity", T.DoubleType())])
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("_cell", "_i", "_j")), strict=True))
+            cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if held and keys[lo] != last:
+                    yield from _close_pairs(pa.Table.from_batches(held), block, least, out.names)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                last = keys[lo]
+        if held:
+            yield from _close_pairs(pa.Table.from_batches(held), block, least, out.names)
+
+    pairs = dealt.mapInArrow(part, out)
+    return pairs.select(*block, F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), "similarity")
+
+
+def _close_pairs(group: pa.Table, block: list[str], least: float, names: list[str], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Pairs of a group: of its two parts with each other, or of its one part, that do not both visit at one level."""
+    group = group.combine_chunks()
+    unit = group.column("_unit").chunk(0) if group.num_rows else None
+    if unit is None:
+        return
+    vectors = unit.flatten().to_numpy(zero_copy_only=False).reshape(group.num_rows, -1)
+    part, visits = group.column("_part").to_numpy(), group.column("_visits").to_numpy()
+    i, j = group.column("_i")[0].as_py(), group.column("_j")[0].as_py()
+    x, y = np.flatnonzero(part == i), np.flatnonzero(part == j)
+    for at in range(0, len(x), rows):
+        some = x[at : at + rows]
+        close = vectors[some] @ vectors[y].T
+        good = (close >= least) & ((visits[some][:, None] & visits[y][None, :]) == 0)
+        if i == j:
+            good &= some[:, None] < y[None, :]
+        p, q = np.nonzero(good)
+        if len(p):
+            left, right = group.take(pa.array(some[p])), group.take(pa.array(y[q]))
+            yield pa.RecordBatch.from_arrays([*(left.column(c).combine_chunks() for c in block), left.column("_key").combine_chunks(), right.column("_key").combine_chunks(), pa.array(close[p, q])], names)
+
+
+def similarity_cells(rows: DataFrame, block: list[str], key: str, vector: str, least: float, tile: int, pivots: int = 512, sample: int = 4096, most: int = 12) -> DataFrame:
+    """block, _key, _unit, _cell, _visits, _c (rows of the cell): every pair with a cosine of at least ``least`` is in one cell, and in one alone do its rows' ``_visits`` share no bit.
+
+    Pivots are rows drawn from a cell by hash, a quarter or about ``sample`` of them, without those within the threshold of one before. A row is at home with the nearest pivot and visits those
+    before that to whose side of the plane between the two it is near enough that a row within the threshold's angle could be at home there. Large cells are cut again. A cell stays as it is where
+    visits would more than double its rows or one part keeps most of them: vectors without neighbourhoods have no shorter way, and copies are all pairs.
     """
-    parts = rows.groupBy(*block).agg(F.ceil(F.count("*") / tile).cast("int").alias("_parts")).where("_parts > 1")
     unit = let(norm(F.col(vector)), lambda n: F.when(n > 0, F.transform(vector, lambda x: x.cast("double") / n)).otherwise(F.array().cast("array<double>")))
-    rows = rows.select(*block, F.col(key).alias("_key"), unit.alias("_unit")).where(F.size("_unit") > 0).join(parts, block, "left")
-    x = rows.select(*block, F.pmod(F.xxhash64("_key"), F.coalesce("_parts", F.lit(1))).cast("int").alias("_part"), F.col("_key").alias("a"), F.col("_unit").alias("va"))
-    y = rows.select(*block, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.col("_key").alias("b"), F.col("_unit").alias("vb"))
-    pairs = x.join(y, [*block, "_part"]).where((F.col("a") < F.col("b")) & (F.size("va") == F.size("vb")))
-    return pairs.withColumn("similarity", dot(F.col("va"), F.col("vb"))).where(F.col("similarity") >= least).select(*block, "a", "b", "similarity")
+    todo = rows.select(*block, F.col(key).alias("_key"), unit.alias("_unit")).where(F.size("_unit") > 0)
+    todo = todo.withColumn("_cell", F.sha1(F.to_json(F.struct(*block, F.size("_unit").alias("_dims"))))).withColumn("_visits", F.lit(0).cast("long")).withColumn("_of", F.lit(None).cast("long"))
+    reach = float(np.sqrt(1 - least * least)) if 0 < least <= 1 else np.inf if least <= 0 else 0.0
+
+    def home(key: tuple, rows: pa.Table, points: pa.Table) -> pa.Table:
+        """Rows of a part of a cell with the pivots that they go to, the last of which is their own."""
+        if not rows.num_rows or not points.num_rows:
+            return pa.Table.from_batches([], arrow)
+        drawn = points.column("_points")[0].values.field("unit")
+        drawn, pivot = drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), -1), []
+        free = np.ones(len(drawn), bool)
+        while free.any() and len(pivot) < pivots:
+            pivot.append(drawn[free.argmax()])
+            free &= drawn @ pivot[-1] < least
+            free[: free.argmax() if free.any() else 0] = False
+        pivot = np.array(pivot)
+        vectors = rows.column("_unit").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
+        chord, into = np.sqrt(np.maximum(0.0, 2 - 2 * pivot @ pivot.T)), []
+        for at in range(0, len(vectors), 1024):
+            near = vectors[at : at + 1024] @ pivot.T
+            own = near.argmax(axis=1)
+            fits = near.max(axis=1)[:, None] - near <= reach * chord[own] + 1e-9
+            fits &= np.arange(len(pivot))[None, :] < own[:, None]
+            into += [[*np.flatnonzero(f).tolist(), o] for f, o in zip(fits, own.tolist(), strict=True)]
+        kept = [c for c in arrow.names if c != "_into"]
+        return rows.select(kept).append_column("_into", pa.array(into, pa.list_(pa.int32()))).cast(arrow)
+
+    names, done = [*block, "_key", "_unit", "_cell", "_visits", "_c"], []
+    for level in range(most):
+        sized = table(todo.join(todo.groupBy("_cell").agg(F.count("*").alias("_c")), "_cell"), "similarity-cells")
+        open_ = (F.col("_c") > tile) & (F.col("_of").isNull() | (F.col("_c") < 0.8 * F.col("_of")))
+        if level == most - 1 or sized.where(open_).isEmpty():
+            return reduce(DataFrame.unionByName, [*done, sized.select(names)])
+        every = F.greatest(F.lit(4), F.col("_c") / sample).cast("long")
+        turn = F.xxhash64("_key", F.lit(level))
+        drawn = sized.where(open_ & (F.pmod(turn, every) == 0))
+        points = drawn.groupBy("_cell").agg(F.slice(F.array_sort(F.collect_list(F.struct(turn.alias("turn"), F.col("_unit").alias("unit")))), 1, 2 * sample).alias("_points"), F.ceil(F.max("_c") / tile).cast("int").alias("_parts")).where(F.size("_points") > 1)
+        points = points.select("_cell", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), "_points")
+        dealt = sized.where(open_).withColumn("_part", F.pmod(F.xxhash64("_key", F.lit(7)), F.ceil(F.col("_c") / tile).cast("int")).cast("int"))
+        out = T.StructType([*(dealt.schema[c] for c in names), T.StructField("_into", T.ArrayType(T.IntegerType()))])
+        arrow = to_arrow_schema(out)
+        # a task gets one part of a cell and the cell's pivots
+        placed = table(dealt.groupBy("_cell", "_part").cogroup(points.groupBy("_cell", "_part")).applyInArrow(home, out), "similarity-placed")
+        cut = placed.groupBy("_cell").agg((F.sum(F.size("_into")) <= 2 * F.count("*")).alias("_cut")).where("_cut").select("_cell")
+        stays = sized.join(cut, "_cell", "left_anti")
+        done.append(stays.select(names))
+        into = placed.join(cut, "_cell").withColumn("_to", F.explode("_into"))
+        visits = F.col("_visits").bitwiseOR(F.when(F.col("_to") == F.element_at("_into", -1), F.lit(0).cast("long")).otherwise(F.lit(1 << level).cast("long")))
+        todo = into.select(*block, "_key", "_unit", F.sha1(F.concat_ws(":", "_cell", F.col("_to").cast("string"))).alias("_cell"), visits.alias("_visits"), F.col("_c").alias("_of"))
+    raise AssertionError("the last level returns")
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None, most: int = 60) -> DataFrame:

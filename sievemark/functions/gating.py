@@ -41,10 +41,13 @@ HEADING, BULLET = r"(?m)^\s*#{1,6}\s+\S", r"(?m)^\s*[-*+]\s+\S"
 STATS = ("total_words", *(f"{k}_{x}" for k in ("cookie", "legal", "age", "login", "unknown") for x in ("hits", "share")), "interstitial_kind")
 
 
-def _words(t: Column) -> Column:
-    """Words of a lower-case text, where ASCII alone is read by the simpler classes."""
-    cut = F.when(F.octet_length(t) == F.char_length(t), F.split(t, r"\W+")).otherwise(F.split(t, r"(?U)\W+"))
-    return F.filter(cut, lambda w: w != "")
+def _counted(low: Column) -> Column:
+    """Struct (low, words, marked) of a lower-case text: how many words it has, and those that can belong to a match. ASCII is read by the simpler classes."""
+    cut = F.when(F.octet_length(low) == F.char_length(low), F.split(low, r"\W+")).otherwise(F.split(low, r"(?U)\W+"))
+    every = sorted({m for *_, marks in DOMINANT for m in marks})
+    blank = lambda w: (w == "").cast("int")
+    counted = lambda c: F.size(c) - blank(c[0]) - F.when(F.size(c) > 1, blank(F.element_at(c, -1))).otherwise(0)
+    return let(cut, lambda c: F.struct(low.alias("low"), counted(c).alias("words"), F.filter(c, lambda w: w.isin(*every) | w.startswith(COOKIE_START)).alias("marked")))
 
 
 def _folded(t: Column) -> Column:
@@ -77,15 +80,15 @@ def gate(text: Column, min_words: int = 30, cookie_cap: float = 0.02, structure:
 
     def dominant(t: Column) -> Column:
         def tried(x: Column) -> Column:
-            total, out = F.size(x["words"]), F.lit("ok")
+            total, out = x["words"], F.lit("ok")
             for kind, reason, pattern, hits, share, marks in reversed(DOMINANT):
                 share = min(share, max(0.001, cookie_cap)) if kind == "cookie" else share
                 enough = lambda n, hits=hits, share=share: (n >= hits) & (n / F.greatest(total, F.lit(1)) >= share)
                 n = F.regexp_count(x["low"], F.lit(pattern.replace("(?iU)", "(?U)")))
-                out = F.when(F.when(let(_marks(x["words"], marks, kind == "cookie"), enough), let(n, enough)).otherwise(False), reason).otherwise(out)
+                out = F.when(F.when(let(_marks(x["marked"], marks, kind == "cookie"), enough), let(n, enough)).otherwise(False), reason).otherwise(out)
             return F.when(total >= LEAST_TOTAL, out).otherwise("ok")
 
-        return let(let(_folded(t), lambda low: F.struct(low.alias("low"), _words(low).alias("words"))), tried)
+        return let(let(_folded(t), _counted), tried)
 
     def reason(t: Column) -> Column:
         judged = let(markdown_word_count(t), lambda words: F.coalesce(_shape_reason(t, words, least, structure), dominant(t)))
@@ -105,10 +108,10 @@ def gate_statistics(text: Column, interstitial: str = NOTHING, min_words: int =
 
     def read(t: Column) -> Column:
         def counted(x: Column) -> Column:
-            total = F.greatest(F.size(x["words"]), F.lit(1))
+            total = F.greatest(x["words"], F.lit(1))
             count = lambda pattern: F.regexp_count(x["low"], F.lit(pattern.replace("(?iU)", "(?U)")))
-            known = [F.when(_marks(x["words"], marks, kind == "cookie") > 0, count(pattern)).otherwise(0).alias(kind) for kind, _, pattern, _, _, marks in DOMINANT]
-            return F.struct(F.size(x["words"]).alias("words"), total.alias("total"), *known, F.regexp_count(t, F.lit(f"(?iU){interstitial}")).alias("unknown"))
+            known = [F.when(_marks(x["marked"], marks, kind == "cookie") > 0, count(pattern)).otherwise(0).alias(kind) for kind, _, pattern, _, _, marks in DOMINANT]
+            return F.struct(x["words"].alias("words"), total.alias("total"), *known, F.regexp_count(t, F.lit(f"(?iU){interstitial}")).alias("unknown"))
 
         def told(n: Column) -> Column:
             why, code = F.lit("ok"), F.lit(0)
@@ -124,7 +127,7 @@ def gate_statistics(text: Column, interstitial: str = NOTHING, min_words: int =
 
         def judged(words: Column) -> Column:
             early = lambda why: F.struct(F.lit("suppress").alias("action"), why.alias("reason"), F.create_map(F.lit("total_words"), number(words)).alias("stats"))
-            full = let(let(let(_folded(t), lambda low: F.struct(low.alias("low"), _words(low).alias("words"))), counted), told)
+            full = let(let(let(_folded(t), _counted), counted), told)
             return let(_shape_reason(t, words, least, structure), lambda why: F.when(t == "", early(F.lit("empty"))).when(why.isNotNull(), early(why)).otherwise(full))
 
         return let(markdown_word_count(t), judged)

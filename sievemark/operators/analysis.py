@@ -62,6 +62,22 @@ def view_sums(members: DataFrame, metrics: DataFrame, columns: Sequence[str]) ->
     return rows.groupBy("view_key").agg(F.count("*").alias("companies"), *(F.sum(c).alias(c) for c in columns))
 
 
+def view_distributions(members: DataFrame, pages: DataFrame, value: str) -> DataFrame:
+    """view_key and ``summarize`` of the values of the pages (company_id, value) of its companies, exactly. A company without pages adds none."""
+    return summarize(members.join(pages.select("company_id", value), "company_id"), value, ["view_key"])
+
+
+def view_sketches(members: DataFrame, pages: DataFrame, value: str, k: int = 400) -> DataFrame:
+    """As ``view_distributions``, from one KLL sketch a company that its views merge, so that no page row is copied to each view.
+
+    A quantile's rank is off by about ``2.3 / k`` at the most in 99 of 100 cases, under one in a hundred with the default. n, min and max are exact.
+    """
+    by_company = pages.where(F.col(value).isNotNull()).groupBy("company_id").agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("_s"), F.count("*").alias("_n"), F.min(value).alias("_min"), F.max(value).alias("_max"))
+    merged = members.join(by_company, "company_id").groupBy("view_key").agg(F.sum("_n").alias("n"), F.kll_merge_agg_double("_s", F.lit(k)).alias("_s"), F.min("_min").alias("min"), F.max("_max").alias("max"))
+    names = ["median", *(f"p{round(q * 100)}" for q in PERCENTILES[1:])]
+    return merged.select("view_key", "n", *(F.kll_sketch_get_quantile_double("_s", F.lit(q)).alias(c) for q, c in zip(PERCENTILES, names, strict=True)), "min", "max")
+
+
 def view_order(key: Column) -> Column:
     """Sort key of views: the global one, numbered industries by number, others by name, the unknown last."""
     number = F.regexp_extract(key, r"^industry(?:\+nace)?:(\d+)", 1).try_cast("int")

@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.binding import let
 from ..functions.text import clean_ws, descriptiveness, has_evidence, norm_name, norm_type, profile_sentences
 from ..functions.vectors import dot, norm
-from ..shared import release, table
+from ..shared import exists, release, table
 
 
 def clean_mentions(mentions: DataFrame, pages: DataFrame) -> DataFrame:
@@ -38,6 +38,28 @@ def embed_texts(texts: DataFrame, text: str, embedder: Callable[[list[str]], lis
     return texts.select(text).where(F.col(text).isNotNull()).distinct().mapInPandas(part, f"`{text}` string, embedding array<float>")
 
 
+def embed_cached(texts: DataFrame, text: str, embedder: Callable[[list[str]], list[list[float]]], cache: str, model: str) -> DataFrame:
+    """text, embedding of the distinct texts, of which the embedder gets those alone that the table at ``cache`` has not.
+
+    The cache is a Parquet table by model; an entry's key is the SHA-256 of its text, so the texts themselves stay where they are. New entries are
+    appended once they are all made; a run that ends early appends none. Runs of one cache come one after the other.
+    """
+    spark = texts.sparkSession
+    wanted = texts.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct().withColumn("key", F.sha2("text", 256))
+    held = T.StructType([T.StructField("key", T.StringType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("model", T.StringType())])
+
+    def known() -> DataFrame:
+        rows = spark.read.schema(held).parquet(cache) if exists(spark, cache) else spark.createDataFrame([], held)
+        return rows.where(F.col("model") == model).select("key", "embedding").dropDuplicates(["key"])
+
+    new = table(wanted.join(known().select("key"), "key", "left_anti"), "embedding-texts")
+    if not new.isEmpty():
+        made = embed_texts(new, "text", embedder).select(F.sha2("text", 256).alias("key"), "embedding", F.lit(model).alias("model"))
+        made.write.mode("append").partitionBy("model").parquet(cache)
+    release(new)
+    return wanted.join(known(), "key").select(F.col("text").alias(text), "embedding")
+
+
 def hashed_embedding(texts: list[str], size: int = 64) -> list[list[float]]:
     """A stand-in for a model: counts of character trigrams by hash, at unit length."""
     import zlib

@@ -88,6 +88,13 @@ def view_sums(t):
     return a.view_sums(a.views(_companies(t)), m, ["orders"])
 
 
+@C.query("view_distributions", f"""{_VIEWS} SELECT view_key, count(o_totalprice) AS n, round(avg(o_totalprice), 6) AS mean, round(quantile_cont(o_totalprice, 0.5), 6) AS median, round(quantile_cont(o_totalprice, 0.9), 6) AS p90, round(min(o_totalprice), 6) AS min, round(max(o_totalprice), 6) AS max
+FROM v JOIN orders ON o_custkey = company_id GROUP BY 1""")
+def view_distributions(t):
+    pages = t("orders").select(F.col("o_custkey").alias("company_id"), "o_totalprice")
+    return a.view_distributions(a.views(_companies(t)), pages, "o_totalprice").select("view_key", "n", "mean", "median", "p90", "min", "max")
+
+
 @C.query("view_ordering", f"{_VIEWS}, d AS (SELECT DISTINCT view_key, CASE WHEN view_key = 'global' THEN 0 WHEN view_key LIKE '%:unknown' THEN 3 ELSE 1 END AS g, coalesce(TRY_CAST(regexp_extract(view_key, '^industry(?:\\+nace)?:([0-9]+)', 1) AS INT), 0) AS k FROM v) SELECT view_key, CAST(row_number() OVER (ORDER BY g, k, view_key) AS INT) AS pos FROM d")
 def view_ordering(t):
     from pyspark.sql import Window

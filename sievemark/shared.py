@@ -64,6 +64,12 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:

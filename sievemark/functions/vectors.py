@@ -48,3 +48,21 @@ def dual_score(tokens: Column, positive: tuple[str, ...], negative: tuple[str, .
     """Relevance to the positive terms and distance from the negative ones, from 0 to 1."""
     squash = lambda raw: 1.0 - F.exp(-raw)
     return _terms(tokens, (*positive, *negative), lambda held, n: alpha * squash(_weighed(held, n, positive, 1.2, 0.75, 1000.0)) + (1 - alpha) * (1.0 - squash(_weighed(held, n, negative, 1.2, 0.75, 1000.0))))
+
+
+def page_relevance(head: Column, url: Column, positive: tuple[str, ...], negative: tuple[str, ...], alpha: float = 0.7) -> Column:
+    """Relevance of a page, from 0 to 1, by the tokens of its head document and of its URL: the better of the two, but 0 if the head says
+    neither good nor bad and the URL has a negative term. A head without tokens counts 0.
+    """
+    terms = (*positive, *negative)
+
+    def scores(tokens: Column) -> Column:
+        raw = lambda held, n, q: _weighed(held, n, q, 1.2, 0.75, 1000.0)
+        both = _terms(tokens, terms, lambda held, n: F.struct(raw(held, n, positive).alias("good"), raw(held, n, negative).alias("bad")))
+        return let(both, lambda b: F.struct(b["good"].alias("good"), b["bad"].alias("bad"), (alpha * (1.0 - F.exp(-b["good"])) + (1 - alpha) * F.exp(-b["bad"])).alias("both")))
+
+    def fused(s: Column) -> Column:
+        neutral = (s["head"]["good"] <= 0) & (s["head"]["bad"] <= 0)
+        return F.when(neutral & (s["url"]["bad"] > 0), 0.0).otherwise(F.greatest(F.when(s["empty"], 0.0).otherwise(s["head"]["both"]), s["url"]["both"]))
+
+    return let(F.struct(scores(head).alias("head"), scores(url).alias("url"), (F.size(head) == 0).alias("empty")), fused)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import DERIVE_RANK, percent, rank
 from ..functions.coerce import status as known_status
+from ..functions.markup import head_document
+from ..functions.text import bm25_tokens
+from ..functions.vectors import page_relevance
 
 
 def fold_log(log: DataFrame, keys: Sequence[str], order: str, fields: Sequence[str]) -> DataFrame:
@@ -120,6 +123,29 @@ def cap_pages(pages: DataFrame, cap: int, order: Sequence[Column]) -> DataFrame:
     return pages.withColumn("kept", F.row_number().over(Window.partitionBy("company_id").orderBy(*order)) <= cap)
 
 
+def cap_by_relevance(pages: DataFrame, cap: int, positive: tuple[str, ...], negative: tuple[str, ...], stopwords: tuple[str, ...] = ()) -> DataFrame:
+    """Pages that have Markdown or HTML (company_id, url, html, has_markdown, more) with score, kept and suppressed_reason.
+
+    A company keeps its ``cap`` most relevant pages, by head document and URL, ties by URL; the others are suppressed for ``max_pages``. Where its kept pages end is found
+    from the first ``cap`` of each task, so no task ranks all pages of a large company.
+    """
+    head = bm25_tokens(head_document(F.col("html")), stopwords)
+    score = page_relevance(head, bm25_tokens(F.col("url"), stopwords), positive, negative)
+    scored = pages.where(F.col("has_markdown") | F.col("html").isNotNull()).withColumn("score", score)
+    key = F.struct((-F.col("score")).alias("low"), F.col("url").alias("url"))
+    ranked = scored.select("company_id", key.alias("key")).withColumn("turn", F.row_number().over(Window.partitionBy("company_id").orderBy("key")))
+    ends = ranked.where(F.col("turn") <= cap).groupBy("company_id").agg(F.max("key").alias("end"))
+    kept = scored.join(ends, "company_id").withColumn("kept", key <= F.col("end")).drop("end")
+    return kept.withColumn("suppressed_reason", F.when(~F.col("kept"), "max_pages"))
+
+
+def cap_report(capped: DataFrame, cap: int) -> DataFrame:
+    """By company: candidates, kept, overflow, markdown_saved (kept pages with Markdown) and hard_max_pages_hit."""
+    return capped.groupBy("company_id").agg(
+        F.count("*").alias("candidates"), F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("overflow"), F.count_if(F.col("kept") & F.col("has_markdown")).alias("markdown_saved"), (F.count("*") > cap).alias("hard_max_pages_hit"),
+    )
+
+
 def next_attempts(attempts: DataFrame, run_id: str) -> DataFrame:
     """company_id, attempt_no: one more than the greatest of a run."""
     return attempts.where(F.col("run_id") == run_id).groupBy("company_id").agg((F.max("attempt_no") + 1).alias("attempt_no"))

@@ -192,6 +192,42 @@ def bm25_score(t):
     return t("documents").select("doc_id", F.round(vectors.dual_score(text.bm25_tokens(F.col("text")), _TERMS[:2], _TERMS[2:]), 6).alias("score"))
 
 
+_GOOD, _BAD = ("the", "of", "de", "la"), ("and", "fr", "es")
+
+
+def _weight(tokens: str, words: tuple[str, ...]) -> str:
+    tf = lambda w: f"len(list_filter({tokens}, lambda x: x = '{w}'))::DOUBLE"
+    return " + ".join(f"CASE WHEN {tf(w)} > 0 THEN ln(2.0::DOUBLE / ({tf(w)} + 0.5) + 1) * {tf(w)} * 2.2 / greatest({tf(w)} + 1.2 * (0.25 + 0.75 * len({tokens}) / 1000.0), 1e-9) ELSE 0.0 END" for w in words)
+
+
+_CAPPED = rf"""h AS (SELECT page_id, url, {_registrable(_HOST, urls.INGEST_SUFFIXES)} AS company_id, page_id % 3 = 0 AS has_markdown, CASE WHEN page_id % 4 > 0 THEN html END AS html FROM pages WHERE page_id % 3 = 0 OR page_id % 4 > 0 AND html IS NOT NULL),
+k AS (SELECT *, trim(regexp_replace(regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM h),
+w AS (SELECT *, regexp_extract_all(lower(title || ' ' || title || ' ' || title), '[a-z0-9]+|[぀-ゟ]+|[゠-ヿ]+|[一-鿿]+') AS t, regexp_extract_all(lower(url), '[a-z0-9]+|[぀-ゟ]+|[゠-ヿ]+|[一-鿿]+') AS u FROM k),
+r AS (SELECT page_id, company_id, url, has_markdown, t, {_weight('t', _GOOD)} AS tg, {_weight('t', _BAD)} AS tb, {_weight('u', _GOOD)} AS ug, {_weight('u', _BAD)} AS ub FROM w),
+s AS (SELECT *, CASE WHEN tg <= 0 AND tb <= 0 AND ub > 0 THEN 0 ELSE greatest(CASE WHEN len(t) = 0 THEN 0 ELSE 0.7 * (1 - exp(-tg)) + 0.3 * exp(-tb) END, 0.7 * (1 - exp(-ug)) + 0.3 * exp(-ub)) END AS score FROM r),
+z AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY round(score, 9) DESC, url) <= 7 AS kept FROM s)"""
+
+
+def _capped(t):
+    from ..operators.state import cap_by_relevance
+
+    k = F.col("page_id")
+    rows = t("pages").select("page_id", urls.registrable(urls.host(F.col("url"), False)).alias("company_id"), "url", F.when(k % 4 > 0, F.col("html")).alias("html"), (k % 3 == 0).alias("has_markdown"))
+    return cap_by_relevance(rows, 7, _GOOD, _BAD)
+
+
+@C.query("page_cap_relevance", f"WITH {_CAPPED} SELECT page_id, company_id, round(score, 6) AS score, kept, CASE WHEN NOT kept THEN 'max_pages' END AS suppressed_reason FROM z")
+def page_cap_relevance(t):
+    return _capped(t).select("page_id", "company_id", F.round("score", 6).alias("score"), "kept", "suppressed_reason")
+
+
+@C.query("page_cap_report", f"WITH {_CAPPED} SELECT company_id, count(*) AS candidates, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS overflow, count(*) FILTER (kept AND has_markdown) AS markdown_saved, count(*) > 7 AS hard_max_pages_hit FROM z GROUP BY 1")
+def page_cap_report(t):
+    from ..operators.state import cap_report
+
+    return cap_report(_capped(t), 7)
+
+
 @C.query("page_cap", f"""WITH u AS (SELECT page_id, {_registrable(_HOST, urls.INGEST_SUFFIXES)} AS company_id, length(html) AS score, url FROM pages) SELECT page_id, company_id, row_number() OVER (PARTITION BY company_id ORDER BY score DESC, url) <= 30 AS kept FROM u""")
 def page_cap(t):
     from ..operators.state import cap_pages

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,70 @@ def json_health(text: Column) -> Column:
     )
 
 
+def _is_json(text: Column) -> Column:
+    def check(t: str | None) -> bool:
+        try:
+            json.loads(t)
+        except (TypeError, ValueError, RecursionError):
+            return False
+        return True
+
+    @F.pandas_udf("boolean")
+    def checked(texts: pd.Series) -> pd.Series:
+        return texts.map(check).astype(bool)
+
+    return checked(text)
+
+
+def bytes_health(content: Column) -> Column:
+    """Why the bytes of a JSON file are unusable: unreadable, empty, nul_bytes_prefix_or_early, non_utf8_bytes, whitespace_only, json_parse_error or
+    json_not_dict; null for an object. What the engine's parser does not take, such as a key given twice, is read again in Python before it counts as an error.
+    """
+    text = content.cast("string")
+    early = F.hex(F.substring(content, 1, 256)).rlike("^(?:09|0A|0D|20)*00")
+    fine = F.is_valid_utf8(text)
+    blank = text.rlike(r"^[\s\x1C-\x1F\x85\p{Z}]*\z")
+    whole = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}"))).isNotNull() & F.try_parse_json(text).isNotNull()
+    asked = F.when(fine & ~blank & ~whole, text)  # null elsewhere, so that Python gets few texts
+    return (
+        F.when(content.isNull(), "unreadable").when(F.octet_length(content) == 0, "empty").when(early, "nul_bytes_prefix_or_early").when(~fine, "non_utf8_bytes").when(blank, "whitespace_only")
+        .when(~whole & ~_is_json(asked), "json_parse_error").when(~text.rlike(r"^\s*\{"), "json_not_dict")
+    )
+
+
+def corrupt_files(files: DataFrame, company: Column, listed: DataFrame | None = None) -> DataFrame:
+    """company_id, path, size_bytes, reason, head_bytes_hex, head_text_preview of unusable JSON files, of rows as ``spark.read.format("binaryFile")`` gives them.
+
+    That scan has no row for a file of no bytes; ``listed`` (path) names the files that are there, and those without a row are empty.
+    """
+    if listed is not None:
+        files = files.select("path", "content").unionByName(listed.select("path").join(files.select("path"), "path", "left_anti").withColumn("content", F.lit(b"")))
+    head = F.make_valid_utf8(F.substring("content", 1, 200).cast("string"))
+    for mark, shown in (("\r", "\\r"), ("\n", "\\n"), ("\t", "\\t")):
+        head = F.replace(head, F.lit(mark), F.lit(shown))
+    rows = files.select(company.alias("company_id"), "path", F.coalesce(F.octet_length("content"), F.lit(0)).cast("long").alias("size_bytes"), bytes_health(F.col("content")).alias("reason"), F.lower(F.hex(F.substring("content", 1, 80))).alias("head_bytes_hex"), head.alias("head_text_preview"))
+    return rows.where(F.col("reason").isNotNull())
+
+
+def corruption_fix(corrupt: DataFrame, companies: DataFrame, runs: DataFrame, done: DataFrame, tag: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What mends the companies of ``corrupt`` files: (renames, companies, done, report).
+
+    renames: path and the path to which it is put aside. companies: those affected are pending with zero counters and last_error ``corrupt_url_index_json``. done
+    (run_id, company_id): without them in the latest run (of ``runs``: run_id, started_at), so that they are crawled again. report: one row of counts. Files of unknown companies stay.
+    """
+    known = corrupt.join(companies.select("company_id"), "company_id", "left_semi")
+    ids = known.select("company_id").distinct()
+    renames = known.select("path", F.concat("path", F.lit(f".corrupt.{tag}")).alias("aside"))
+    hit = ids.withColumn("_hit", F.lit(True))
+    error = companies.join(hit, "company_id", "left").withColumn("last_error", F.when(F.col("_hit"), "corrupt_url_index_json").otherwise(F.col("last_error") if "last_error" in companies.columns else F.lit(None).cast("string"))).drop("_hit")
+    latest = runs.agg(F.max_by("run_id", "started_at").alias("run_id"))
+    unmarked = done.join(F.broadcast(latest), "run_id", "left_semi").join(ids, "company_id", "left_semi").select("run_id", "company_id")
+    counts = [known.select(F.lit("quarantined_files").alias("k"), F.lit(1).alias("n")), ids.select(F.lit("affected_companies"), F.lit(1)), unmarked.select(F.lit("run_done_unmarked"), F.lit(1)), companies.select(F.lit("scanned_companies"), F.lit(1))]
+    every = counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+    report = every.agg(*(F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("scanned_companies", "affected_companies", "quarantined_files", "run_done_unmarked")))
+    return renames, reset_rows(error, ids), done.join(unmarked, ["run_id", "company_id"], "left_anti"), report
+
+
 def suppressed(action: Column, reason: Column, status: Column) -> Column:
     """An entry that gating dropped, under any of its spellings."""
     return F.coalesce(F.lower(action).isin("suppress", "suppressed"), F.lit(False)) | F.coalesce(F.lower(status).rlike("suppress"), F.lit(False)) | (F.coalesce(truthy(reason), F.lit(False)) & F.coalesce(~F.lower(reason).isin("ok"), F.lit(False)) & (F.coalesce(F.lower(action), F.lit("")) != "save"))

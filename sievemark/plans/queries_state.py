@@ -285,3 +285,13 @@ def max_pages_args(t):
 def json_health(t):
     doc = F.element_at(F.array(F.col("props"), F.lit(""), F.concat("props", F.lit("]")), F.concat(F.lit("["), "props", F.lit("]"))), (F.col("event_id") % 4 + 1).cast("int"))
     return t("events").select("event_id", calibrate.json_health(doc).alias("problem"))
+
+
+@C.query("bytes_health", """SELECT event_id, CASE event_id % 9 WHEN 1 THEN 'empty' WHEN 2 THEN 'nul_bytes_prefix_or_early' WHEN 3 THEN 'non_utf8_bytes' WHEN 4 THEN 'whitespace_only' WHEN 5 THEN 'json_parse_error' WHEN 6 THEN 'json_not_dict' WHEN 7 THEN 'unreadable' END AS reason FROM events""")
+def bytes_health(t):
+    text = F.col("props").cast("binary")
+    forms = {1: F.lit(b""), 2: F.concat(F.lit(b" \x00"), text), 3: F.concat(text, F.lit(b"\xff")), 4: F.lit(" \u00a0\n".encode()), 5: F.concat(text, F.lit(b"]")), 6: F.concat(F.lit(b"["), text, F.lit(b"]")), 7: F.lit(None).cast("binary"), 8: F.concat(F.lit(b'{"a":1,"a":'), text, F.lit(b"}"))}
+    content = text
+    for k, form in forms.items():
+        content = F.when(F.col("event_id") % 9 == k, form).otherwise(content)
+    return t("events").select("event_id", calibrate.bytes_health(content).alias("reason"))

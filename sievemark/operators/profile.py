@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -258,10 +259,10 @@ def distinct_sentences(sentences: DataFrame, by: list[str], order: list[str], em
                     key, kept, said = own, [], []
                 if len(said) < most:
                     v = np.asarray(vectors[i].values, float)
-                    norm = np.linalg.norm(v)
-                    v = v / norm if norm else v
-                    if not any(float(v @ k) >= least for k in kept):
-                        kept.append(v)
+                    own_square = float(v @ v)
+                    # divided once, at the end: units would be rounded, and a cosine of just ``least`` could fall below it
+                    if not any((float(v @ k) / math.sqrt(own_square * square) if own_square * square else 0.0) >= least for k, square in kept):
+                        kept.append((v, own_square))
                         said.append(text)
             yield built(done)
         if key is not None:
@@ -281,7 +282,9 @@ def described_offerings(clustered: DataFrame, embedder: Callable[[list[str]], li
     by = ["company_id", "type", "cluster"]
     said = clustered.select(*by, *order, F.posexplode(profile_sentences(F.coalesce("description", F.lit("")))).alias("_pos", "sentence"))
     kept = distinct_sentences(said, by, [*order, "_pos"], embedder, least, most)
-    return canonical_offerings(clustered).drop("descriptions").join(kept, by, "left").withColumn("descriptions", F.coalesce("sentences", F.array().cast("array<string>"))).drop("sentences")
+    kept = kept.select(*(F.col(c).alias(f"_{c}") for c in by), "sentences")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])  # a null is a key as well
+    return canonical_offerings(clustered).drop("descriptions").join(kept, same, "left").withColumn("descriptions", F.coalesce("sentences", F.array().cast("array<string>"))).drop("sentences", *(f"_{c}" for c in by))
 
 
 def offering_text(best: Column, aliases: Column, kind: Column, descriptions: Column) -> Column:
